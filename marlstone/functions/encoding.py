@@ -43,7 +43,12 @@ def percent(part: Column, whole: Column) -> Column:
     return F.lit(100.0) * part / F.nullif(whole, F.lit(0))
 
 
-def json_row(*columns: Column) -> Column:
-    """Mixed-type values as one compact JSON array, e.g. [19724,"L1",10]."""
-    return F.to_json(F.array(*[c.cast("variant") for c in columns]),
-                     {"ignoreNullFields": "false"})
+def shortest_number(c: Column) -> Column:
+    """A double as a variant, without the fraction when it has none."""
+    whole = c.try_cast("bigint")
+    return F.when(c == whole, whole.cast("variant")).otherwise(c.cast("variant"))
+
+
+def json_row(*cells: Column) -> Column:
+    """Variants of any type as one compact JSON array, e.g. [19724,"L1",10]."""
+    return F.to_json(F.array(*cells), {"ignoreNullFields": "false"})

@@ -6,9 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.config import LINE_CODES
-from marlstone.functions.encoding import decode_domain, encode_domain, epoch_day, json_row
+from marlstone.functions.encoding import (
+    decode_domain, encode_domain, epoch_day, json_row, shortest_number,
+)
 from marlstone.operators import gold
 from marlstone.operators.gold import AVERAGE, INCIDENTS, TOTAL
 from marlstone.operators.joins import broadcast_if_small
@@ -52,8 +55,13 @@ def daily_by_line_compact(df: DataFrame, codes: Mapping[str, str] = LINE_CODES)
 
 
 def as_arrays(df: DataFrame) -> DataFrame:
-    """Rows as compact JSON arrays in column order."""
-    return df.select(json_row(*[F.col(c) for c in df.columns]).alias("row"))
+    """Rows as compact JSON arrays in column order; 17.0 is written as 17."""
+    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    cells = [
+        shortest_number(F.col(c)) if c in fractional else F.col(c).cast("variant")
+        for c in df.columns
+    ]
+    return df.select(json_row(*cells).alias("row"))
 
 
 # --- dictionaries -----------------------------------------------------------
