@@ -14,7 +14,7 @@ _ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 _ISO_MINUTE = r"^\d{4}-\d{1,2}-\d{1,2} +\d{1,2}:\d{1,2}$"
 _ISO_INSTANT = (
     r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?))?"
-    r" ?(?:Z|[+-]\d{2}:?\d{2})?$"
+    r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?$"
 )
 # try_cast alone would take "5d" as 5 and "nan" as NaN, which is not < 0.
 _NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,31 +67,21 @@ def silver_cubes(silver: DataFrame) -> Cubes:
 
 # --- steps ------------------------------------------------------------------
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def update_manifest(spark: SparkSession, cfg: FeedConfig, layout: Layout, run_id: str) -> DataFrame:
     """This run's manifest rows, compared with the run before and kept with it."""
     path = layout.path("manifest")
-    history = _read_if_present(spark, path)
-    if history is None:
-        previous = manifests.empty_manifest(spark)
-    else:
-        last = history.agg(F.max("run_id")).first()[0]
-        previous = history.where(F.col("run_id") == last)
+    nothing = manifests.empty_manifest(spark).withColumn("run_id", F.lit(run_id))
+    nothing.write.mode("ignore").parquet(path)  # first run only
+    history = spark.read.schema(nothing.schema).parquet(path)
+    last = history.agg(F.max("run_id")).first()[0]
+    previous = history.where(F.col("run_id") == last)
+
     specs = [*cfg.sources, *([cfg.codes] if cfg.codes else [])]
     files = {s.name: s.path for s in specs if s.format != "table"}
     if files:
         rows = manifests.compare(manifests.scan_files(spark, files), previous)
         rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
-    found = _read_if_present(spark, path)
-    return previous if found is None else found.where(F.col("run_id") == run_id)
+    return spark.read.schema(nothing.schema).parquet(path).where(F.col("run_id") == run_id)
 
 
 def build_bronze(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> DataFrame:

@@ -123,20 +123,20 @@ def hour_by_quarter_line(spark, sf_dir):
     return gold.hours_by_line(lined_clicks(spark, sf_dir), "quarter")
 
 
-def _stations(periods: str) -> str:
+def station_rows(periods: str) -> str:
     return f"""
     SELECT {periods}, line_canonical, station, {SUMS}, {AVERAGE}
     FROM shipments WHERE station <> '' GROUP BY {periods}, line_canonical, station"""
 
 
-def _codes(periods: str) -> str:
+def code_rows(periods: str) -> str:
     return f"""
     SELECT {periods}, line_canonical, code_clean AS code,
            coalesce(max(code_description), 'Not in reference table') AS description, {SUMS}
     FROM shipments GROUP BY {periods}, line_canonical, code_clean"""
 
 
-def _top(rows: str, periods: str, tie: str, k: int) -> str:
+def top_rows(rows: str, periods: str, tie: str, k: int) -> str:
     return f"""
     SELECT * FROM ({rows}) QUALIFY row_number() OVER (
         PARTITION BY {periods}, line_canonical ORDER BY total_delay_minutes DESC, {tie}) <= {k}"""
@@ -145,22 +145,22 @@ def _top(rows: str, periods: str, tie: str, k: int) -> str:
 YEAR, QUARTER = "event_year", "event_year, event_quarter"
 
 
-@query("a14_station_totals_by_year_line", over("shipments", _stations(YEAR)))
+@query("a14_station_totals_by_year_line", over("shipments", station_rows(YEAR)))
 def station_totals_year(spark, sf_dir):
     return gold.station_totals(shipments(spark, sf_dir), "year")
 
 
-@query("a14_station_totals_by_quarter_line", over("shipments", _stations(QUARTER)))
+@query("a14_station_totals_by_quarter_line", over("shipments", station_rows(QUARTER)))
 def station_totals_quarter(spark, sf_dir):
     return gold.station_totals(shipments(spark, sf_dir), "quarter")
 
 
-@query("a14_code_totals_by_year_line", over("shipments", _codes(YEAR)))
+@query("a14_code_totals_by_year_line", over("shipments", code_rows(YEAR)))
 def code_totals_year(spark, sf_dir):
     return gold.code_totals(shipments(spark, sf_dir), "year")
 
 
-@query("a14_code_totals_by_quarter_line", over("shipments", _codes(QUARTER)))
+@query("a14_code_totals_by_quarter_line", over("shipments", code_rows(QUARTER)))
 def code_totals_quarter(spark, sf_dir):
     return gold.code_totals(shipments(spark, sf_dir), "quarter")
 
@@ -183,7 +183,7 @@ def station_leaderboard(spark, sf_dir):
 
 
 @query("t3_top_stations_by_year_line",
-       over("shipments", _top(_stations(YEAR), YEAR, "station", 15)))
+       over("shipments", top_rows(station_rows(YEAR), YEAR, "station", 15)))
 def top_stations_year(spark, sf_dir):
     return gold.top_stations(shipments(spark, sf_dir), "year")
 
@@ -191,30 +191,30 @@ def top_stations_year(spark, sf_dir):
 _PART_CODES = "SELECT s.* REPLACE (concat(code_clean, ' ', station) AS code_clean) FROM shipments s"
 
 
-def _many_codes(spark, sf_dir):
+def many_codes(spark, sf_dir):
     """More codes than a group's limit, so that the top-12 cut matters."""
     return shipments(spark, sf_dir).withColumn("code_clean", F.concat_ws(" ", "code_clean", "station"))
 
 
-def _top_codes_sql(periods: str) -> str:
-    rows = _codes(periods).replace("FROM shipments", f"FROM ({_PART_CODES})")
-    return over("shipments", _top(rows, periods, "code", 12))
+def top_codes_sql(periods: str) -> str:
+    rows = code_rows(periods).replace("FROM shipments", f"FROM ({_PART_CODES})")
+    return over("shipments", top_rows(rows, periods, "code", 12))
 
 
-@query("t4_top_codes_by_year_line", _top_codes_sql(YEAR))
+@query("t4_top_codes_by_year_line", top_codes_sql(YEAR))
 def top_codes_year(spark, sf_dir):
-    return gold.top_codes(_many_codes(spark, sf_dir), "year")
+    return gold.top_codes(many_codes(spark, sf_dir), "year")
 
 
 @query("t5_top_stations_by_quarter_line",
-       over("shipments", _top(_stations(QUARTER), QUARTER, "station", 15)))
+       over("shipments", top_rows(station_rows(QUARTER), QUARTER, "station", 15)))
 def top_stations_quarter(spark, sf_dir):
     return gold.top_stations(shipments(spark, sf_dir), "quarter")
 
 
-@query("t6_top_codes_by_quarter_line", _top_codes_sql(QUARTER))
+@query("t6_top_codes_by_quarter_line", top_codes_sql(QUARTER))
 def top_codes_quarter(spark, sf_dir):
-    return gold.top_codes(_many_codes(spark, sf_dir), "quarter")
+    return gold.top_codes(many_codes(spark, sf_dir), "quarter")
 
 
 # --- the same tables from cubes -----------------------------------------------
@@ -244,6 +244,6 @@ def headline_from_cube(spark, sf_dir):
 
 
 @query("t5_top_stations_by_quarter_line_from_cube",
-       over("shipments", _top(_stations(QUARTER), QUARTER, "station", 15)))
+       over("shipments", top_rows(station_rows(QUARTER), QUARTER, "station", 15)))
 def top_stations_quarter_from_cube(spark, sf_dir):
     return gold.top_stations(gold.station_cube(shipments(spark, sf_dir)), "quarter")
