@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -126,17 +126,25 @@ def decode_codes(encoded: DataFrame, dictionary: DataFrame,
 
 # --- sections ---------------------------------------------------------------
 
+def _as_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 def sections(
     by_time: DataFrame, by_station: DataFrame, by_code: DataFrame,
     codes: Mapping[str, str] = LINE_CODES,
+    keep: Callable[[str, DataFrame], DataFrame] = _as_is,
 ) -> dict[str, DataFrame]:
-    """Every export section by name, from the three cubes (or silver for each)."""
+    """Every export section by name, from the three cubes (or silver for each).
+
+    ``keep`` may store a frame that several sections read and return it stored.
+    """
     def short(df: DataFrame) -> DataFrame:
         return with_short_line(df, codes)
 
-    quarter_stations = gold.top_stations(by_station, "quarter")
-    quarter_codes = gold.top_codes(by_code, "quarter")
-    station_names = station_dictionary(quarter_stations)
+    quarter_stations = keep("quarter_stations", gold.top_stations(by_station, "quarter"))
+    quarter_codes = keep("quarter_codes", gold.top_codes(by_code, "quarter"))
+    station_names = keep("station_names", station_dictionary(quarter_stations))
     quarter_totals = short(gold.totals_by_line(by_station, "quarter"))
     quarter_hours = short(gold.hours_by_line(by_time, "quarter"))
     return {

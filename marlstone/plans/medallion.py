@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,6 +26,9 @@ from marlstone.sources import sinks
 from marlstone.sources.readers import read_source, reference_codes
 
 
+WRITERS = 4  # independent output tables written at the same time
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a run keeps its tables; ``root`` must be visible to every executor."""
@@ -121,26 +125,40 @@ def store_silver(
             spark.read.schema(rejects.schema).parquet(layout.path("silver", "rejects")))
 
 
+def _write_all(write: Callable[[DataFrame, str], None], frames: dict[str, DataFrame]) -> None:
+    """Independent writes a few at a time, so that small jobs share the cluster."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(write, df, path) for path, df in frames.items()]:
+            done.result()
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def store_cubes(silver: DataFrame, layout: Layout) -> Cubes:
-    spark = silver.sparkSession
-    stored = {}
-    for name, cube in vars(silver_cubes(silver)).items():
-        path = layout.path("cubes", name)
-        sinks.write_table(cube, path)
-        stored[name] = spark.read.schema(cube.schema).parquet(path)
-    return Cubes(**stored)
+    cubes = vars(silver_cubes(silver))
+    paths = {name: layout.path("cubes", name) for name in cubes}
+    _write_all(sinks.write_table, {paths[name]: cube for name, cube in cubes.items()})
+    return Cubes(**{name: _stored(cube, paths[name]) for name, cube in cubes.items()})
 
 
 def materialise_gold(cubes: Cubes, layout: Layout) -> None:
-    for name, model in GOLD_MODELS.items():
-        sinks.write_table(model(cubes), layout.path("gold", name))
+    _write_all(sinks.write_table, {
+        layout.path("gold", name): model(cubes) for name, model in GOLD_MODELS.items()})
 
 
 def publish(cubes: Cubes, cfg: FeedConfig, layout: Layout) -> None:
-    """One JSON-lines dataset per export section."""
-    parts = exports.sections(cubes.by_time, cubes.by_station, cubes.by_code, cfg.line_codes)
-    for name, rows in parts.items():
-        sinks.write_json(rows, layout.path("export", name))
+    """One JSON-lines dataset per export section; shared rankings are stored first."""
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = layout.path("rankings", name)
+        sinks.write_table(df, path)
+        return _stored(df, path)
+
+    parts = exports.sections(
+        cubes.by_time, cubes.by_station, cubes.by_code, cfg.line_codes, keep)
+    _write_all(sinks.write_json, {
+        layout.path("export", name): rows for name, rows in parts.items()})
 
 
 def reconcile(cubes: Cubes) -> DataFrame:

@@ -1,0 +1,123 @@
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from marlstone.config import LINE_RULES, UNKNOWN
+from marlstone.functions import encoding, text
+
+SETTINGS = settings(max_examples=8, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0  　"
+messy = st.text(st.sampled_from("abcXYZéß1/-" + SPACES), max_size=12)
+
+
+def column(spark, values, expr):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    rows = df.select("i", expr(F.col("v")).alias("out")).collect()
+    return [r["out"] for r in sorted(rows, key=lambda r: r["i"])]
+
+
+@SETTINGS
+@given(st.lists(messy, min_size=20, max_size=60))
+def test_clean_text_is_strip_upper_collapse(spark, values):
+    expected = [re.sub(r"\s+", " ", v.strip().upper()) for v in values]
+    assert column(spark, values, text.clean_text) == expected
+
+
+def test_clean_text_of_null_is_blank(spark):
+    assert column(spark, [None, "  gate   nine "], text.clean_text) == ["", "GATE NINE"]
+
+
+@SETTINGS
+@given(st.lists(messy, min_size=20, max_size=60))
+def test_strip_matches_python(spark, values):
+    assert column(spark, values, text.strip) == [v.strip() for v in values]
+
+
+def test_blank_is_not_null(spark):
+    got = column(spark, ["", "  ", "\x1f　", None, "x"], text.is_blank)
+    assert got == [True, True, True, False, False]
+
+
+@pytest.mark.parametrize("raw, bucket", [
+    ("YU", "LINE_1_YONGE_UNIVERSITY"),
+    (" yus ", "LINE_1_YONGE_UNIVERSITY"),
+    ("B D", "LINE_2_BLOOR_DANFORTH"),
+    ("SHP", "LINE_4_SHEPPARD"),
+    ("SRT", "LINE_3_SCARBOROUGH_RT"),
+    ("YU/ BD", "MULTI_LINE_OR_NETWORK"),
+    ("LINE 2 - EAST", "MULTI_LINE_OR_NETWORK"),
+    ("all lines", "MULTI_LINE_OR_NETWORK"),
+    ("Line 1", "LINE_1_YONGE_UNIVERSITY"),
+    ("LINE 10", "LINE_1_YONGE_UNIVERSITY"),
+    ("line 2 west", "LINE_2_BLOOR_DANFORTH"),
+    ("LINE 3", "UNKNOWN"),
+    ("77 MAIN ST", "UNKNOWN"),
+    ("", "UNKNOWN"),
+    ("  ", "UNKNOWN"),
+    (None, "UNKNOWN"),
+])
+def test_canonical_bucket(spark, raw, bucket):
+    assert column(spark, [raw], lambda c: text.map_by_rules(c, LINE_RULES, UNKNOWN)) == [bucket]
+
+
+def test_rules_reject_an_unknown_kind():
+    with pytest.raises(ValueError, match="Unknown rule kind"):
+        text.map_by_rules(F.lit("x"), [("starts", "x", "y")], "z")
+
+
+def misread(value):
+    """How a UTF-8 value looks after being read as windows-1252."""
+    return "".join(
+        bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b)
+        for b in value.encode())
+
+
+def test_mojibake_is_repaired_and_plain_text_is_not_touched(spark):
+    originals = ["DOOR – STUCK", "CAFÉ €5", "“QUOTED”", "PLAIN", "日本", ""]
+    garbled = [misread(v) for v in originals]
+    assert column(spark, garbled, text.repair_mojibake) == originals
+    untouched = ["naïve", "– dash", "ÿþ", "日本", "Ã", None]
+    assert column(spark, untouched, text.repair_mojibake) == untouched
+
+
+def unmisread(value):
+    try:
+        return bytes(ord(c) if ord(c) < 256 else c.encode("cp1252")[0] for c in value).decode()
+    except UnicodeError:
+        return value
+
+
+@SETTINGS
+@given(st.lists(st.one_of(
+    st.text(st.characters(max_codepoint=0x2FFF, exclude_categories=["Cs"], exclude_characters="\x00"), max_size=8),
+    st.text(st.characters(max_codepoint=0x2FFF, exclude_categories=["Cs"], exclude_characters="\x00"), max_size=6).map(misread),
+), min_size=40, max_size=120))
+def test_mojibake_repair_equals_the_byte_level_rule(spark, values):
+    assert column(spark, values, text.repair_mojibake) == [unmisread(v) for v in values]
+
+
+def test_domain_codes_round_trip_and_fail_outside(spark):
+    codes = {"ALPHA": "A", "BETA": "B"}
+    assert column(spark, ["BETA", "ALPHA"], lambda c: encoding.encode_domain(c, codes)) == ["B", "A"]
+    assert column(spark, ["B", "A"], lambda c: encoding.decode_domain(c, codes)) == ["BETA", "ALPHA"]
+    for bad in ("GAMMA", None):
+        with pytest.raises(Exception, match="outside its domain"):
+            column(spark, [bad], lambda c: encoding.encode_domain(c, codes, "line"))
+
+
+def test_rounding_scales_the_binary_value(spark):
+    got = spark.range(1).select(
+        encoding.round_half_up(F.lit(0.575), 2), encoding.round_half_up(F.lit(2.5), 0),
+        encoding.round_half_up(F.lit(33.349), 1), encoding.round_half_up(F.lit(None).cast("double"), 2),
+    ).first()
+    assert tuple(got) == (0.57, 3.0, 33.3, None)
+
+
+def test_json_rows_mix_types_and_drop_empty_fractions(spark):
+    df = spark.createDataFrame([(1, 'a"b', 7.0, 2.5, None)], "a int, b string, c double, d double, e double")
+    from marlstone.operators.exports import as_arrays
+    assert as_arrays(df).first()["row"] == '[1,"a\\"b",7,2.5,null]'
