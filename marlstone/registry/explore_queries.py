@@ -24,10 +24,10 @@ def period_and_line(spark, sf_dir):
     SELECT * FROM (
         SELECT station, {SUMS}, {AVERAGE} FROM shipments WHERE station <> '' GROUP BY station
         ORDER BY total_delay_minutes DESC, station LIMIT 50)
-    WHERE contains(lower(station), 'r#00000000') ORDER BY total_delay_minutes DESC, station LIMIT 15"""))
+    WHERE contains(lower(station), '1') ORDER BY total_delay_minutes DESC, station LIMIT 15"""))
 def station_search(spark, sf_dir):
     ranking = gold.station_leaderboard(shipments(spark, sf_dir))
-    return explore.search_stations(ranking, " R#00000000 ")
+    return explore.search_stations(ranking, " 1 ")
 
 
 @query("p21_station_search_all_stations", over("shipments", f"""
