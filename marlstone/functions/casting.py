@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 ISO_DATE = "yyyy-MM-dd"
 
 _ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_ISO_MINUTE = r"^\d{4}-\d{1,2}-\d{1,2} +\d{1,2}:\d{1,2}$"
+_ISO_MINUTE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$"
 _ISO_INSTANT = (
     r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?))?"
     r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?$"
@@ -47,10 +47,9 @@ def event_timestamp(date: Column, time: Column, event_date: Column | None = None
     Pass the parsed ``event_date`` when the feed's dates are not ISO; the time
     is then put on that date instead of on the first ten characters.
     """
-    day = F.substring(date, 1, 10) if event_date is None else event_date.cast("string")
-    text = F.concat(day, F.lit(" "), F.substring(time, 1, 5))
-    collapsed = F.regexp_replace(text, " +", " ")
-    return F.when(text.rlike(_ISO_MINUTE), collapsed.try_cast("timestamp_ntz"))
+    day = F.rtrim(F.substring(date, 1, 10)) if event_date is None else event_date.cast("string")
+    text = F.concat(day, F.lit(" "), F.ltrim(F.substring(time, 1, 5)))
+    return F.when(text.rlike(_ISO_MINUTE), text.try_cast("timestamp_ntz"))
 
 
 def parse_timestamp(c: Column, dtype: T.DataType, formats: Sequence[str] = ()) -> Column:

@@ -121,16 +121,13 @@ def _rounded_mean(over: WindowSpec) -> Column:
 def rolling_daily(df: DataFrame, period: str = ALL, days: int = ROLLING_DAYS) -> DataFrame:
     """Rolling mean over the last ``days`` present days, for every line and for all.
 
-    One grouping-sets pass gives each line's daily totals and the all-lines
-    series. Each series holds at most one row per calendar day of the period.
+    The all-lines series is summed from the lines' daily totals, so the rows
+    are read once. Each series holds at most one row per day of the period.
     """
-    rows = in_period(df, period)
-    totals = rows.groupingSets(
+    by_line = gold.days_by_line(in_period(df, period))
+    totals = by_line.groupingSets(
         [["event_date", "line_canonical"], ["event_date"]], "event_date", "line_canonical",
-    ).agg(
-        F.sum(TOTAL if gold.is_cube(df) else "min_delay").alias(TOTAL),
-        F.grouping("line_canonical").alias("_all"),
-    )
+    ).agg(F.sum(TOTAL).alias(TOTAL), F.grouping("line_canonical").alias("_all"))
     series = totals.select(
         F.when(F.col("_all") == 1, ALL).otherwise(F.col("line_canonical")).alias("line"),
         "event_date", TOTAL)

@@ -8,8 +8,9 @@ once per cube; gold and all export sections come from the cubes.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,7 +27,9 @@ from marlstone.sources import sinks
 from marlstone.sources.readers import read_source, reference_codes
 
 
-WRITERS = 4  # independent output tables written at the same time
+WRITERS = 8  # independent output tables written at the same time
+SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 @dataclass(frozen=True)
@@ -69,6 +72,23 @@ def silver_cubes(silver: DataFrame) -> Cubes:
     return Cubes(gold.time_cube(silver), gold.station_cube(silver), gold.code_cube(silver))
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions that one holds about SHUFFLE_TARGET_BYTES of raw data.
+
+    Only ever raises the session's setting; adaptive execution merges what
+    turns out small.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-raw_bytes // SHUFFLE_TARGET_BYTES))
+    spark.conf.set(setting, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 # --- steps ------------------------------------------------------------------
 
 def update_manifest(spark: SparkSession, cfg: FeedConfig, layout: Layout, run_id: str) -> DataFrame:
@@ -223,6 +243,15 @@ def run(
     layout = Layout(root)
     started = dt.datetime.now(dt.timezone.utc)
     manifest = update_manifest(spark, cfg, layout, started.isoformat())
+    raw_bytes = manifest.agg(F.sum("bytes")).first()[0] or 0
+    with sized_shuffles(spark, raw_bytes):
+        return _rebuild(spark, cfg, layout, started, manifest, run_date, gate)
+
+
+def _rebuild(
+    spark: SparkSession, cfg: FeedConfig, layout: Layout, started: dt.datetime,
+    manifest: DataFrame, run_date: dt.date | None, gate: bool,
+) -> RunResult:
     bronze = build_bronze(spark, cfg, layout)
     codes = read_source(spark, cfg.codes)
     silver, rejects = store_silver(bronze, codes, cfg, layout)

@@ -6,12 +6,19 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.config import SourceSpec
 from marlstone.functions.text import strip_upper
 
 ROW_ID = "source_row_id"
 
+# Cells that count as missing when a CSV file is checked.
+MISSING_CELLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def normalise_name(name: str) -> str:
     """' Min  Delay ' -> 'min_delay'."""
@@ -89,9 +96,14 @@ def load_dataset(spark: SparkSession, path: str, table: str | None = None) -> Da
     if suffix == ".parquet":
         return spark.read.parquet(path)
     if suffix == ".csv":
-        return spark.read.options(
+        cells = spark.read.options(
             header=True, inferSchema=True, quote='"', escape='"', preferDate=False,
+            multiLine=has_quoted_line_breaks(spark, path),
         ).csv(path)
+        return cells.withColumns({
+            f.name: F.when(~F.col(f"`{f.name}`").isin(*MISSING_CELLS), F.col(f"`{f.name}`"))
+            for f in cells.schema.fields if isinstance(f.dataType, T.StringType)
+        })
     if suffix in {".duckdb", ".db"}:
         if not table:
             raise ValueError("A table name is required for database inputs.")

@@ -86,3 +86,12 @@ def test_gate_stops_the_export_but_not_the_report(spark, cfg, tmp_path):
     with pytest.raises(quality.QualityGateError):
         medallion.run(spark, cfg, str(root), RUN_DATE, gate=True)
     assert (root / "reports" / "latest_run").exists() and not (root / "export").exists()
+
+
+def test_shuffles_grow_with_the_input_and_are_put_back(spark):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    for raw, expected in ((0, int(before)), (100 * 2**30, 400), (100 * 2**40, medallion.MAX_SHUFFLE_PARTITIONS)):
+        with medallion.sized_shuffles(spark, raw):
+            assert int(spark.conf.get(setting)) == expected
+        assert spark.conf.get(setting) == before

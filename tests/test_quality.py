@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marlstone import run_checks
 from marlstone.operators import quality
+from marlstone.plans.check import check_dataset
 
 RUN_DATE = dt.date(2026, 8, 10)
 
@@ -184,6 +185,19 @@ def test_report_and_gate(spark, sample):
     quality.assert_passed([r for r in results if r.passed])
 
 
+def test_a_dataset_is_loaded_checked_and_reported(spark, sample, tmp_path):
+    path = str(tmp_path / "sample.parquet")
+    sample.write.parquet(path)
+    config = {"dataset_name": "sample", "required_columns": ["event_ts", "station"],
+              "non_negative_columns": ["amount"]}
+    report = check_dataset(spark, path, config, run_date=RUN_DATE).first()
+    assert (report["dataset"], report["rows"], report["checks_passed"], report["checks_total"]) == ("sample", 3, 2, 2)
+    (tmp_path / "cells.csv").write_text('v,n\n"two\nlines",1\nNA,2\n,3\n  ,x\n')
+    report = check_dataset(spark, str(tmp_path / "cells.csv"), {"not_blank_max_rates": {"v": 0.2}}).first()
+    # NA and the empty cell are missing, which is not blank
+    assert report["rows"] == 4 and report["checks"][0]["measured"] == "0.25"
+
+
 def test_results_keep_the_measure_as_text_and_number(spark, sample):
     frame = quality.results_frame(spark, run_checks(sample, {
         "timestamp_column": "event_ts", "required_columns": ["event_ts"]}, RUN_DATE))
