@@ -126,6 +126,15 @@ def decode_codes(encoded: DataFrame, dictionary: DataFrame,
 
 # --- sections ---------------------------------------------------------------
 
+def field_table(spark: SparkSession, compact: Mapping[str, DataFrame]) -> DataFrame:
+    """What each position of a section's arrays holds; ``line`` is a short code."""
+    names = [
+        (section, ["line_code" if c == "line" else c for c in rows.columns])
+        for section, rows in compact.items()
+    ]
+    return spark.createDataFrame(names, "section string, fields array<string>")
+
+
 def _as_is(name: str, df: DataFrame) -> DataFrame:
     return df
 
@@ -145,8 +154,16 @@ def sections(
     quarter_stations = keep("quarter_stations", gold.top_stations(by_station, "quarter"))
     quarter_codes = keep("quarter_codes", gold.top_codes(by_code, "quarter"))
     station_names = keep("station_names", station_dictionary(quarter_stations))
-    quarter_totals = short(gold.totals_by_line(by_station, "quarter"))
-    quarter_hours = short(gold.hours_by_line(by_time, "quarter"))
+    compact = {
+        "daily_summary": daily_compact(by_station),
+        "daily_by_line": daily_by_line_compact(by_time, codes),
+        "totals_by_quarter_line": short(gold.totals_by_line(by_station, "quarter")).select(
+            *PERIOD, "line", INCIDENTS, TOTAL, "stations"),
+        "hour_by_quarter_line": short(gold.hours_by_line(by_time, "quarter")).select(
+            *PERIOD, "line", "event_hour", INCIDENTS, TOTAL),
+        "stations_by_quarter_line": encode_stations(quarter_stations, station_names, codes),
+        "codes_by_quarter_line": encode_codes(quarter_codes, codes),
+    }
     return {
         "headline": gold.headline(by_station),
         "line_codes": line_code_table(by_time.sparkSession, codes),
@@ -160,15 +177,8 @@ def sections(
         "monthly_by_line": short(gold.months_by_line(by_time)),
         "stations_by_year_line": short(gold.top_stations(by_station, "year")),
         "codes_by_year_line": short(gold.top_codes(by_code, "year")),
-        "daily_summary": as_arrays(daily_compact(by_station)),
-        "daily_by_line": as_arrays(daily_by_line_compact(by_time, codes)),
-        "totals_by_quarter_line": as_arrays(quarter_totals.select(
-            *PERIOD, "line", INCIDENTS, TOTAL, "stations")),
-        "hour_by_quarter_line": as_arrays(quarter_hours.select(
-            *PERIOD, "line", "event_hour", INCIDENTS, TOTAL)),
-        "stations_by_quarter_line": as_arrays(
-            encode_stations(quarter_stations, station_names, codes)),
-        "codes_by_quarter_line": as_arrays(encode_codes(quarter_codes, codes)),
+        **{name: as_arrays(rows) for name, rows in compact.items()},
+        "array_fields": field_table(by_time.sparkSession, compact),
         "station_names": station_names,
         "code_descriptions": code_dictionary(quarter_codes),
     }

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.config import DEDUPE_KEYS, SILVER_COLUMNS, FeedConfig
+from marlstone.config import SILVER_COLUMNS, FeedConfig
 from marlstone.functions.casting import (
     ISO_DATE, event_hour, event_timestamp, event_year_month, parse_date, parse_number,
 )
@@ -67,12 +67,14 @@ def accepted(annotated: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key, the first by ``order``; nulls in the key are equal.
 
-    Without an order all other columns decide, so the survivor is the same on
-    every run. The row_number filter also cuts each key to one row per task
-    before the shuffle, so a key copied many times does not reach one reducer.
+    The remaining columns break ties, so that the survivor is the same on every
+    run even where a feed has no row position. The row_number filter also cuts
+    each key to one row per task before the shuffle, so a key copied many times
+    does not reach one reducer.
     """
-    order = [c for c in order if c in df.columns] or [c for c in df.columns if c not in keys]
-    first = Window.partitionBy(*keys).orderBy(*order)
+    given = [c for c in order if c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in given]
+    first = Window.partitionBy(*keys).orderBy(*given, *rest)
     return (df.withColumn("_position", F.row_number().over(first))
               .where("_position = 1").drop("_position"))
 
@@ -118,9 +120,3 @@ def build_silver(
     """(silver, rejects) from bronze rows and the raw code reference."""
     annotated = annotate(bronze, code_dimension(codes), cfg)
     return silver(annotated, cfg), rejects(annotated)
-
-
-__all__ = [
-    "DEDUPE_KEYS", "accepted", "annotate", "build_silver", "code_dimension", "keep_first",
-    "project_silver", "rejects", "silver", "type_columns",
-]
