@@ -78,9 +78,8 @@ def with_periods(df: DataFrame) -> DataFrame:
 
 # --- cubes ------------------------------------------------------------------
 
-def _cube(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        _incidents(df), _delayed(df), _total(df), _delayed_total(df), *extra)
+def _cube(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(_incidents(df), _delayed(df), _total(df), _delayed_total(df))
 
 
 def time_cube(silver: DataFrame) -> DataFrame:
@@ -94,10 +93,9 @@ def station_cube(silver: DataFrame) -> DataFrame:
 
 
 def code_cube(silver: DataFrame) -> DataFrame:
-    """(year, quarter, line, code) with the code's description."""
-    return _cube(
-        with_periods(silver), ("event_year", "event_quarter", "line_canonical", "code_clean"),
-        F.max("code_description").alias("code_description"))
+    """(year, quarter, line, code, description)."""
+    return _cube(with_periods(silver), (
+        "event_year", "event_quarter", "line_canonical", "code_clean", "code_description"))
 
 
 # --- gold models ------------------------------------------------------------
@@ -138,9 +136,15 @@ def _station_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _code_totals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    description = F.coalesce(F.max("code_description"), F.lit(NO_DESCRIPTION))
-    return df.groupBy(*keys, F.col("code_clean").alias("code")).agg(
-        description.alias("description"), _incidents(df), _total(df))
+    """Per code, with its first non-null description.
+
+    The description is a grouping key of the pass over the rows and is chosen
+    afterwards: a maximum of text cannot be hash-aggregated and would sort them.
+    """
+    described = df.groupBy(*keys, "code_clean", "code_description").agg(_incidents(df), _total(df))
+    return described.groupBy(*keys, F.col("code_clean").alias("code")).agg(
+        F.coalesce(F.max("code_description"), F.lit(NO_DESCRIPTION)).alias("description"),
+        F.sum(INCIDENTS).alias(INCIDENTS), F.sum(TOTAL).alias(TOTAL))
 
 
 def delays_by_station(df: DataFrame) -> DataFrame:

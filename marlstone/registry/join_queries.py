@@ -14,6 +14,7 @@ from marlstone.registry.inputs import code_list, feeds, shipments, table
 from marlstone.registry.sql import over
 from marlstone.sources import bronze as bronze_layer
 from marlstone.sources import manifest as manifests
+from marlstone.sources import sinks
 
 
 @query("j1_code_lookup", over("annotated", """
@@ -51,11 +52,12 @@ def frequency_members(spark, sf_dir):
 
 
 def _ranked_stations(spark, sf_dir):
-    return gold.top_stations(shipments(spark, sf_dir), "quarter")
+    """The ranking, kept in the shared folder because several steps read it."""
+    return sinks.reliable_checkpoint(gold.top_stations(shipments(spark, sf_dir), "quarter"))
 
 
 def _ranked_codes(spark, sf_dir):
-    return gold.top_codes(many_codes(spark, sf_dir), "quarter")
+    return sinks.reliable_checkpoint(gold.top_codes(many_codes(spark, sf_dir), "quarter"))
 
 
 # the six line values of the shipments, so that they can carry short codes

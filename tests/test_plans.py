@@ -79,6 +79,13 @@ def test_single_distinct_counts_do_not_expand_silver(stored):
     assert re.search(r"keys=\[line_canonical#\d+, station#\d+\]", below)
 
 
+def test_no_aggregate_sorts_silver(stored):
+    for df in (gold.delays_by_code(stored), gold.top_codes(stored, "quarter"), gold.code_cube(stored),
+               gold.station_cube(stored), gold.time_cube(stored), gold.headline(stored)):
+        nearest = [n for n in initial(df).splitlines() if "Aggregate(" in n][-1]
+        assert "HashAggregate" in nearest, nearest
+
+
 def test_lookup_broadcasts_only_below_the_measured_bound(spark):
     dimension = silver.code_dimension(code_frame(spark))
     size = joins.measured_bytes(dimension)

@@ -57,16 +57,25 @@ def test_a_hot_key_reaches_the_shuffle_once_per_task(spark, hot):
 @pytest.mark.parametrize("limit", [0, 10 ** 9])
 def test_lookup_with_a_hot_code_keeps_every_row(spark, hot, limit):
     dimension = spark.createDataFrame([("HOT", "hot"), ("C1", "one")], "code_clean string, code_description string")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10k")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    small_cluster = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in small_cluster.items():
+        spark.conf.set(name, value)
     try:
-        counts = dict(silver.lookup(hot, dimension, "code_clean", limit).groupBy("code_description").count().collect())
+        wide = hot.withColumn("pad", F.sha2(F.col("source_row_id").cast("string"), 512))
+        counted = silver.lookup(wide, dimension, "code_clean", limit).groupBy("code_description").agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.length("pad")))
+        counts = {r["code_description"]: r["n"] for r in counted.collect()}
+        final = counted._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in small_cluster:
+            spark.conf.unset(name)
+    # past the broadcast bound the hot code's rows are spread over several tasks
+    assert ("SortMergeJoin(skew=true)" in final) == (limit == 0)
     expected = Counter({"HOT": "hot", "C1": "one"}.get(r[3]) for r in python_rows())
     assert counts == dict(expected)
 
