@@ -98,7 +98,11 @@ class SourceSpec:
 
 @dataclass(frozen=True)
 class FeedConfig:
-    """A dataset: its feeds in priority order, its code reference, its rules."""
+    """A dataset: its feeds in priority order, its code reference, its rules.
+
+    ``time_ordered`` says that the raw files are in date order, which saves the
+    shuffle that gathers bronze by month.
+    """
 
     sources: tuple[SourceSpec, ...] = ()
     codes: SourceSpec | None = None
@@ -109,3 +113,4 @@ class FeedConfig:
     date_formats: tuple[str, ...] = ("yyyy-MM-dd",)
     dedupe_keys: tuple[str, ...] = DEDUPE_KEYS
     thresholds: dict = field(default_factory=lambda: dict(THRESHOLDS))
+    time_ordered: bool = False

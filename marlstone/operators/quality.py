@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +34,13 @@ DEFAULT_UNKNOWN_VALUES = ("UNKNOWN", "")
 DEFAULT_MIN_PERIODS = 7
 TRAILING_PERIODS = 8  # latest partial + latest full + six before them
 
+# Texts of measures, thresholds and the configuration error.
+SCHEMA_MEASURE = "{present}/{total} required columns present"
+SCHEMA_THRESHOLD = "all required columns present"
+FRESHNESS_MEASURE = "max {column} {newest}, {age} days before run date"
+NO_HISTORY = "insufficient history"
+UNKNOWN_KEYS = "Unknown config keys: {keys}"
+
 # Suspect row hashes up to this many (16 bytes each in the hash table) are
 # broadcast; with more, all rows are grouped instead.
 BROADCAST_HASHES = 1_000_000
@@ -172,165 +179,175 @@ def repeated_rows(df: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> in
     return copies.agg(F.coalesce(F.sum("_extra"), F.lit(0))).first()[0]
 
 
-# --- the runner -------------------------------------------------------------
+# --- the checks: measures -> results ----------------------------------------
 
-def _rate(part: int, whole: int, empty: float) -> float:
-    return part / whole if whole else empty
+@dataclass(frozen=True)
+class _Suite:
+    """One table under one config, with the measures of the fused pass."""
 
+    df: DataFrame
+    config: Mapping
+    layer: str
+    run_date: dt.date
+    measured: Mapping
 
-def _fused(df: DataFrame, config: Mapping) -> dict:
-    """All plain aggregates the config asks for, in one pass."""
-    measures = {"rows": F.count(F.lit(1))}
-    if "timestamp_column" in config:
-        measures["parsed"] = count_parseable(df, config["timestamp_column"])
-    for column in config.get("not_blank_max_rates", {}):
-        measures[f"blank:{column}"] = count_blank(column)
-    for column in config.get("non_negative_columns", []):
-        measures[f"negative:{column}"] = count_negative(column)
-    if "mapped_value_coverage" in config:
-        spec = config["mapped_value_coverage"]
-        measures["mapped"] = count_mapped(
-            spec["column"], spec.get("unknown_values", DEFAULT_UNKNOWN_VALUES))
-    if "freshness" in config:
-        measures["latest"] = latest_date(df, config["freshness"]["date_column"])
-    if set(measures) == {"rows"} and not _needs_rows(config):
-        return {"rows": None}
-    return df.agg(*[m.alias(name) for name, m in measures.items()]).first().asDict()
+    @property
+    def rows(self) -> int:
+        return self.measured["rows"]
+
+    def share(self, part: int, empty: float) -> float:
+        return part / self.rows if self.rows else empty
+
+    def result(self, name, passed, measured, threshold, detail) -> CheckResult:
+        return CheckResult(name, self.layer, passed, measured, threshold, detail)
+
+    def at_least(self, name: str, rate: float, floor: float, detail: str) -> CheckResult:
+        return self.result(name, rate >= floor, round(rate, 4), f">= {floor}", detail)
 
+    def at_most(self, name: str, rate: float, ceiling, detail: str) -> CheckResult:
+        return self.result(name, rate <= float(ceiling), round(rate, 4), f"<= {ceiling}", detail)
 
-def _needs_rows(config: Mapping) -> bool:
-    return bool({"reference_coverage", "duplicate_max_rate"} & set(config))
 
+def _schema(suite: _Suite) -> Iterator[CheckResult]:
+    required = list(suite.config["required_columns"])
+    missing = [c for c in required if c not in suite.df.columns]
+    present = len(required) - len(missing)
+    yield suite.result(
+        "schema_conformance", not missing,
+        SCHEMA_MEASURE.format(present=present, total=len(required)), SCHEMA_THRESHOLD,
+        f"missing: {missing}")
 
-def _reference_frame(spark: SparkSession, values) -> tuple[DataFrame, int | None]:
-    """A reference set given as a list or as a one-column frame."""
-    if isinstance(values, DataFrame):
-        return values, None
-    cleaned = sorted({str(v).strip().upper() for v in values})
-    return spark.createDataFrame([(v,) for v in cleaned], "value string"), len(cleaned)
 
+def _timestamps(suite: _Suite) -> Iterator[CheckResult]:
+    column = suite.config["timestamp_column"]
+    floor = float(suite.config.get("timestamp_parse_min_rate", DEFAULT_TIMESTAMP_RATE))
+    yield suite.at_least("timestamp_parse_rate", suite.share(suite.measured["parsed"], 0.0), floor,
+                         f"rows whose {column} is a timestamp")
 
-def _at_least(name: str, layer: str, rate: float, floor: float, detail: str) -> CheckResult:
-    return CheckResult(name, layer, rate >= floor, round(rate, 4), f">= {floor}", detail)
 
+def _blanks(suite: _Suite) -> Iterator[CheckResult]:
+    for column, ceiling in suite.config["not_blank_max_rates"].items():
+        rate = suite.share(suite.measured[f"blank:{column}"], 1.0)
+        yield suite.at_most(f"{column}_null_rate", rate, ceiling, f"rows whose {column} is blank")
 
-def _at_most(name: str, layer: str, rate: float, ceiling: float, detail: str) -> CheckResult:
-    return CheckResult(name, layer, rate <= ceiling, round(rate, 4), f"<= {ceiling}", detail)
 
+def _negatives(suite: _Suite) -> Iterator[CheckResult]:
+    for column in suite.config["non_negative_columns"]:
+        found = suite.measured[f"negative:{column}"]
+        yield suite.result(f"non_negative_{column}", found == 0, found, "== 0",
+                           f"rows whose {column} is below zero")
 
-def _check_schema(df: DataFrame, layer: str, required: Sequence[str]) -> CheckResult:
-    present = [c for c in required if c in df.columns]
-    return CheckResult(
-        "schema_conformance", layer, len(present) == len(required),
-        f"{len(present)}/{len(required)} required columns present",
-        "all required columns present",
-        f"missing: {[c for c in required if c not in present]}")
 
+def _references(suite: _Suite) -> Iterator[CheckResult]:
+    spec = suite.config["reference_coverage"]
+    known = spec["reference_values"]
+    if not isinstance(known, DataFrame):
+        known = suite.df.sparkSession.createDataFrame([(str(v),) for v in known], "value string")
+    hits = coverage(suite.df, spec["column"], known).first()["hits"] if suite.rows else 0
+    yield suite.at_least(
+        spec.get("name", "reference_coverage"), suite.share(hits, 0.0), float(spec["min_rate"]),
+        f"rows whose {spec['column']} is in the reference set")
 
-def _check_freshness(
-    layer: str, spec: Mapping, rows: int, latest: dt.date | None, run_date: dt.date,
-) -> CheckResult:
+
+def _duplicates(suite: _Suite) -> Iterator[CheckResult]:
+    repeats = repeated_rows(suite.df) if suite.rows else 0
+    yield suite.at_most("duplicate_rate", suite.share(repeats, 0.0),
+                        float(suite.config["duplicate_max_rate"]), "rows that repeat an earlier row")
+
+
+def _mapped(suite: _Suite) -> Iterator[CheckResult]:
+    spec = suite.config["mapped_value_coverage"]
+    yield suite.at_least(
+        spec.get("name", "mapped_value_coverage"), suite.share(suite.measured["mapped"], 0.0),
+        float(spec["min_rate"]), f"rows whose {spec['column']} is not an unknown value")
+
+
+def _freshness(suite: _Suite) -> Iterator[CheckResult]:
+    spec = suite.config["freshness"]
     column, limit = spec["date_column"], int(spec["max_age_days"])
-    threshold = f"<= {limit} days"
-    if rows and latest is None:
-        return CheckResult("freshness", layer, False, "no parseable date", threshold,
-                           f"no value of {column} is a date")
-    newest = latest if rows else run_date
-    age = (run_date - newest).days
-    return CheckResult(
-        "freshness", layer, age <= limit,
-        f"max {column} {newest.isoformat()}, {age} days before run date", threshold,
-        "an old newest date means that the feed stopped")
-
-
-def _check_volume(df: DataFrame, layer: str, spec: Mapping) -> CheckResult:
+    newest = suite.measured["latest"] if suite.rows else suite.run_date
+    if newest is None:
+        passed, measure = False, "no parseable date"
+    else:
+        age = (suite.run_date - newest).days
+        passed = age <= limit
+        measure = FRESHNESS_MEASURE.format(column=column, newest=newest.isoformat(), age=age)
+    yield suite.result("freshness", passed, measure, f"<= {limit} days",
+                       "an old newest date means that the feed stopped")
+
+
+def _volume(suite: _Suite) -> Iterator[CheckResult]:
+    spec = suite.config["volume_anomaly"]
     ceiling = float(spec["max_deviation"])
     minimum = int(spec.get("min_periods", DEFAULT_MIN_PERIODS))
-    found = volume_deviation(df, spec["period_column"], minimum).first()
+    found = volume_deviation(suite.df, spec["period_column"], minimum).first()
     if found["periods"] < minimum or found["latest"] is None:
-        return CheckResult("volume_anomaly", layer, False, "insufficient history",
-                           f"<= {ceiling}", f"{found['periods']} periods, {minimum} needed")
+        yield suite.result("volume_anomaly", False, NO_HISTORY, f"<= {ceiling}",
+                           f"{found['periods']} periods, {minimum} needed")
+        return
+    # too few periods for a baseline leave the deviation undefined, which fails
     deviation = math.nan if found["deviation"] is None else found["deviation"]
-    baseline = math.nan if found["baseline"] is None else found["baseline"]
-    return _at_most("volume_anomaly", layer, deviation, ceiling,
-                    f"latest full period has {int(found['latest'])} rows, "
-                    f"periods before it {baseline:.0f} on average")
-
+    yield suite.at_most("volume_anomaly", deviation, ceiling,
+                        f"latest full period has {int(found['latest'])} rows, "
+                        f"periods before it {found['baseline'] or 0:.0f} on average")
+
+
+def _tail(suite: _Suite) -> Iterator[CheckResult]:
+    spec = suite.config["long_tail"]
+    limit = int(spec["max_count"])
+    found = long_tail(suite.df, spec["column"], limit).first()
+    rate = found["tail_rows"] / found["rows"] if found["rows"] else 1.0
+    yield suite.at_most(spec.get("name", "long_tail_rate"), rate, float(spec["max_rate"]),
+                        f"rows whose {spec['column']} occurs at most {limit} times")
+
+
+# config key -> check, in the order of the report
+CHECKS: dict[str, Callable[[_Suite], Iterator[CheckResult]]] = {
+    "required_columns": _schema,
+    "timestamp_column": _timestamps,
+    "not_blank_max_rates": _blanks,
+    "non_negative_columns": _negatives,
+    "reference_coverage": _references,
+    "duplicate_max_rate": _duplicates,
+    "mapped_value_coverage": _mapped,
+    "freshness": _freshness,
+    "volume_anomaly": _volume,
+    "long_tail": _tail,
+}
+_COUNTED = {"reference_coverage", "duplicate_max_rate"}  # need the row count, nothing else fused
 
-def run_checks(
-    df: DataFrame, config: Mapping, run_date: dt.date | None = None,
-) -> list[CheckResult]:
-    """Run the checks named in ``config``, in a fixed order."""
-    unknown = set(config) - set(KNOWN_KEYS)
-    if unknown:
-        raise ValueError(f"Unknown config keys: {sorted(unknown)}")
-    run_date = run_date or dt.date.today()
-    layer = str(config.get("layer", "dataset"))
-    measured = _fused(df, config)
-    rows = measured["rows"]
-    results: list[CheckResult] = []
-
-    if "required_columns" in config:
-        results.append(_check_schema(df, layer, list(config["required_columns"])))
 
+def _fused(df: DataFrame, config: Mapping) -> dict:
+    """The row count and all plain aggregates the config asks for, in one pass."""
+    measures = {}
     if "timestamp_column" in config:
-        column = config["timestamp_column"]
-        floor = float(config.get("timestamp_parse_min_rate", DEFAULT_TIMESTAMP_RATE))
-        results.append(_at_least(
-            "timestamp_parse_rate", layer, _rate(measured["parsed"], rows, 0.0), floor,
-            f"rows whose {column} is a timestamp"))
-
-    for column, ceiling in config.get("not_blank_max_rates", {}).items():
-        rate = _rate(measured[f"blank:{column}"], rows, 1.0)
-        blank = _at_most(f"{column}_null_rate", layer, rate, float(ceiling),
-                         f"rows whose {column} is blank")
-        blank.threshold = f"<= {ceiling}"
-        results.append(blank)
-
+        measures["parsed"] = count_parseable(df, config["timestamp_column"])
+    for column in config.get("not_blank_max_rates", {}):
+        measures[f"blank:{column}"] = count_blank(column)
     for column in config.get("non_negative_columns", []):
-        negative = measured[f"negative:{column}"]
-        results.append(CheckResult(
-            f"non_negative_{column}", layer, negative == 0, negative, "== 0",
-            f"rows whose {column} is below zero"))
-
-    if "reference_coverage" in config:
-        spec = config["reference_coverage"]
-        reference, size = _reference_frame(df.sparkSession, spec["reference_values"])
-        hits = coverage(df, spec["column"], reference).first()["hits"] if rows else 0
-        detail = f"rows whose {spec['column']} is in the reference set"
-        results.append(_at_least(
-            spec.get("name", "reference_coverage"), layer, _rate(hits, rows, 0.0),
-            float(spec["min_rate"]), detail if size is None else f"{detail} of {size} values"))
-
-    if "duplicate_max_rate" in config:
-        repeats = repeated_rows(df) if rows else 0
-        results.append(_at_most(
-            "duplicate_rate", layer, _rate(repeats, rows, 0.0),
-            float(config["duplicate_max_rate"]), "rows that repeat an earlier row"))
-
+        measures[f"negative:{column}"] = count_negative(column)
     if "mapped_value_coverage" in config:
         spec = config["mapped_value_coverage"]
-        results.append(_at_least(
-            spec.get("name", "mapped_value_coverage"), layer,
-            _rate(measured["mapped"], rows, 0.0), float(spec["min_rate"]),
-            f"rows whose {spec['column']} is not an unknown value"))
-
+        measures["mapped"] = count_mapped(
+            spec["column"], spec.get("unknown_values", DEFAULT_UNKNOWN_VALUES))
     if "freshness" in config:
-        results.append(_check_freshness(
-            layer, config["freshness"], rows, measured["latest"], run_date))
-
-    if "volume_anomaly" in config:
-        results.append(_check_volume(df, layer, config["volume_anomaly"]))
-
-    if "long_tail" in config:
-        spec = config["long_tail"]
-        limit = int(spec["max_count"])
-        tail = long_tail(df, spec["column"], limit).first()
-        results.append(_at_most(
-            spec.get("name", "long_tail_rate"), layer,
-            _rate(tail["tail_rows"], tail["rows"], 1.0), float(spec["max_rate"]),
-            f"rows whose {spec['column']} occurs at most {limit} times"))
-    return results
+        measures["latest"] = latest_date(df, config["freshness"]["date_column"])
+    if not measures and not _COUNTED & set(config):
+        return {}
+    measures["rows"] = F.count(F.lit(1))
+    return df.agg(*[m.alias(name) for name, m in measures.items()]).first().asDict()
+
+
+def run_checks(
+    df: DataFrame, config: Mapping, run_date: dt.date | None = None,
+) -> list[CheckResult]:
+    """Run the checks named in ``config``, in a fixed order."""
+    unknown = sorted(set(config) - set(KNOWN_KEYS))
+    if unknown:
+        raise ValueError(UNKNOWN_KEYS.format(keys=unknown))
+    suite = _Suite(df, config, str(config.get("layer", "dataset")),
+                   run_date or dt.date.today(), _fused(df, config))
+    return [result for key, check in CHECKS.items() if key in config for result in check(suite)]
 
 
 # --- preset, report, gate ---------------------------------------------------

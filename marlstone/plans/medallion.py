@@ -118,7 +118,8 @@ def build_bronze(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> DataFr
     seen = Observation("bronze_months")
     month = F.struct("partition_year", "partition_month")
     sinks.write_partitioned(
-        batch.observe(seen, F.collect_set(month).alias("months")), layout.path("bronze"))
+        batch.observe(seen, F.collect_set(month).alias("months")), layout.path("bronze"),
+        gather=not cfg.time_ordered)
     stored = spark.read.schema(batch.schema).parquet(layout.path("bronze"))
     return stored.where(_in_months([(m[0], m[1]) for m in seen.get["months"]]))
 

@@ -30,7 +30,7 @@ def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -
     """``df`` itself, or ValueError naming the columns it lacks. Runs no job."""
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Bronze schema is missing required columns: {missing}")
+        raise ValueError(f"the feeds lack required columns: {missing}")
     return df
 
 

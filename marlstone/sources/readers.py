@@ -107,6 +107,6 @@ def load_dataset(spark: SparkSession, path: str, table: str | None = None) -> Da
         })
     if suffix in {".duckdb", ".db"}:
         if not table:
-            raise ValueError("A table name is required for database inputs.")
+            raise ValueError(f"{path} names a database: say which table")
         return spark.table(table)
-    raise ValueError(f"Unsupported input type: {suffix} (use .parquet, .csv, or a table)")
+    raise ValueError(f"cannot load {suffix!r}: give a .parquet or .csv path or a table")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +37,18 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def write_partitioned(df: DataFrame, path: str, keys=PARTITION_COLUMNS) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, keys: Sequence[str] = PARTITION_COLUMNS, gather: bool = True,
+) -> None:
     """Replace only the partitions present in ``df``; others stay.
 
     Rows are gathered per partition so that tasks x partitions small files do
     not appear; the rebalance splits a partition that is too big for one task.
+    Input already in partition order needs no gathering and so no shuffle.
     """
-    (df.hint("rebalance", *[F.col(k) for k in keys])
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*keys).parquet(path))
+    rows = df.hint("rebalance", *[F.col(k) for k in keys]) if gather else df
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(path))
 
 
 def write_table(df: DataFrame, path: str) -> None:

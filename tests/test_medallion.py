@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from frames import BRONZE
@@ -81,6 +82,12 @@ def test_months_gone_from_the_feeds_stay_in_bronze_but_not_in_silver(spark, cfg,
     assert result.report["row_counts"]["bronze"] == 2
 
 
+def test_time_ordered_feeds_give_the_same_silver(spark, cfg, tmp_path):
+    gathered = medallion.run(spark, cfg, str(tmp_path / "a"), RUN_DATE)
+    direct = medallion.run(spark, replace(cfg, time_ordered=True), str(tmp_path / "b"), RUN_DATE)
+    assert sorted(map(str, direct.silver.collect())) == sorted(map(str, gathered.silver.collect()))
+
+
 def test_gate_stops_the_export_but_not_the_report(spark, cfg, tmp_path):
     root = tmp_path / "out"
     with pytest.raises(quality.QualityGateError):
