@@ -99,15 +99,12 @@ def available_periods(df: DataFrame) -> DataFrame:
 
 def monthly_series(df: DataFrame, period: str = ALL, line: str = ALL) -> DataFrame:
     """By month of the timestamp; rows without one have no month and are left out."""
-    months = roll_up(on_line(gold.months_by_line(df), line), "event_year_month")
-    months = in_period(months.where(F.col("event_year_month").isNotNull()), period)
-    return months.orderBy("event_year_month")
+    rows = select_rows(df, period, line).where(F.col("event_year_month").isNotNull())
+    return gold.monthly_trend(rows).select("event_year_month", INCIDENTS, TOTAL)
 
 
 def daily_series(df: DataFrame, period: str = ALL, line: str = ALL) -> DataFrame:
-    days = select_rows(df, period, line)
-    return (gold.days_by_line(days).groupBy("event_date")
-                .agg(F.sum(TOTAL).alias(TOTAL)).orderBy("event_date"))
+    return gold.daily_totals(select_rows(df, period, line))
 
 
 def hourly_series(df: DataFrame, period: str = ALL, line: str = ALL) -> DataFrame:

@@ -200,6 +200,10 @@ def months_by_line(df: DataFrame) -> DataFrame:
         _incidents(df), _total(df)).orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 
+def daily_totals(df: DataFrame) -> DataFrame:
+    return df.groupBy("event_date").agg(_total(df)).orderBy("event_date")
+
+
 def days_by_line(df: DataFrame) -> DataFrame:
     keys = ("event_date", "line_canonical")
     return df.groupBy(*keys).agg(_total(df)).orderBy(*keys)
