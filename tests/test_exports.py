@@ -37,7 +37,7 @@ def test_all_sections_are_there(exported):
         "daily_by_line", "totals_by_quarter_line", "hour_by_quarter_line",
         "stations_by_quarter_line", "codes_by_quarter_line", "station_names", "code_descriptions",
         "array_fields"}
-    assert len(exported["daily_summary"]) == 3
+    assert len(exported["daily_summary"]) == 4
     fields = {r["section"]: r["fields"] for r in exported["array_fields"]}
     assert fields["daily_by_line"] == ["epoch_day", "line_code", "total_delay_minutes"]
     assert all(len(json.loads(exported[s][0]["row"])) == len(f) for s, f in fields.items())
@@ -47,14 +47,14 @@ def test_all_sections_are_there(exported):
 def test_year_totals_add_up_to_the_headline(exported):
     rows = {(r["event_year"], r["line"]): r for r in exported["totals_by_year_line"]}
     head = exported["headline"][0]
-    assert sum(r["incidents"] for r in rows.values()) == head["incidents"] == 5
-    assert sum(r["total_delay_minutes"] for r in rows.values()) == head["total_delay_minutes"] == 25
-    assert rows[2024, "L1"]["incidents"] == 2 and rows[2025, "L2"]["total_delay_minutes"] == 3
+    assert sum(r["incidents"] for r in rows.values()) == head["incidents"] == 6
+    assert sum(r["total_delay_minutes"] for r in rows.values()) == head["total_delay_minutes"] == 33
+    assert rows[2023, "L1"]["incidents"] == 2 and rows[2024, "L2"]["total_delay_minutes"] == 6
 
 
 def test_blank_stations_are_never_ranked(exported):
     assert all(r["station"] for r in exported["stations_by_year_line"])
-    assert (2024, "L1", "S1") in {
+    assert (2023, "L1", "K1") in {
         (r["event_year"], r["line"], r["code"]) for r in exported["codes_by_year_line"]}
 
 
@@ -63,21 +63,21 @@ def test_daily_arrays_agree(exported):
     by_line = {}
     for day, _, total in arrays(exported["daily_by_line"]):
         by_line[day] = by_line.get(day, 0) + total
-    assert by_line == daily and daily[19724] == 10
+    assert by_line == daily and daily[19483] == 12
 
 
 def test_quarter_arrays_reconcile_and_decode(exported):
     totals = arrays(exported["totals_by_quarter_line"])
-    assert sum(r[3] for r in totals) == 5 and sum(r[4] for r in totals) == 25
+    assert sum(r[3] for r in totals) == 6 and sum(r[4] for r in totals) == 33
     keyed = {tuple(r[:3]): r for r in totals}
-    assert keyed[2024, 1, "L1"][3] == 2 and keyed[2025, 1, "L2"][4] == 3
+    assert keyed[2023, 2, "L1"][3] == 2 and keyed[2024, 4, "L2"][4] == 6
     names = {r["station_index"]: r["station"] for r in exported["station_names"]}
     assert sorted(names) == list(range(len(names)))
     stations = {(*r[:3], names[r[3]]) for r in arrays(exported["stations_by_quarter_line"])}
-    assert (2024, 1, "L1", "NORTH GATE") in stations
-    assert {r["code"]: r["description"] for r in exported["code_descriptions"]}["S2"] == "TWO"
-    assert (2025, 1, "L1", "S2") in {tuple(r[:4]) for r in arrays(exported["codes_by_quarter_line"])}
-    assert (2025, 1, "L1", 17) in {tuple(r[:4]) for r in arrays(exported["hour_by_quarter_line"])}
+    assert (2023, 2, "L1", "NORTH GATE") in stations
+    assert {r["code"]: r["description"] for r in exported["code_descriptions"]}["K2"] == "KNOB"
+    assert (2024, 4, "L1", "K2") in {tuple(r[:4]) for r in arrays(exported["codes_by_quarter_line"])}
+    assert (2024, 4, "L1", 21) in {tuple(r[:4]) for r in arrays(exported["hour_by_quarter_line"])}
 
 
 def test_sections_from_silver_equal_sections_from_cubes(spark):
@@ -116,4 +116,4 @@ def test_a_line_outside_the_domain_stops_the_export(spark, small):
 
 def test_records_are_json_objects_with_iso_dates(small):
     first = json.loads(exports.records(gold.daily_summary(small)).first()["record"])
-    assert first["event_date"] == "2024-01-02" and first["incidents"] == 2
+    assert first["event_date"] == "2023-05-06" and first["incidents"] == 2

@@ -10,7 +10,7 @@ from marlstone.operators import quality
 from marlstone.plans import medallion
 
 HEADER = "_id,Date,Time,Day,Station,Code,Min Delay,Min Gap,Bound,Line,Vehicle\n"
-RUN_DATE = dt.date(2025, 2, 1)
+RUN_DATE = dt.date(2025, 3, 10)
 
 
 def write_feed(path, rows):
@@ -49,7 +49,7 @@ def test_run_from_raw_files(spark, cfg, tmp_path):
     assert by_name["schema_conformance"].passed and by_name["duplicate_rate"].passed
     assert by_name["code_reference_coverage"].measured == 0.8
     silver = {r["vehicle_id"]: r for r in result.silver.collect()}
-    assert silver["5001"]["code_description"] == "DOOR – STUCK"
+    assert silver["71"]["code_description"] == "DOOR – STUCK"
     assert silver["7"]["min_delay"] == 4.0 and silver["7"]["line_canonical"] == "LINE_4_SHEPPARD"
     assert spark.table("silver_delays").count() == 5
     agreed = medallion.reconcile(result.cubes).first()
@@ -57,7 +57,7 @@ def test_run_from_raw_files(spark, cfg, tmp_path):
     report = spark.read.schema(medallion.REPORT_SCHEMA).json(root + "/reports/latest_run").first()
     assert report["checks_total"] == 10 and len(report["manifest_files"]) == 3
     day = json.loads(spark.read.json(root + "/export/daily_summary").orderBy("row").first()["row"])
-    assert day == [20089, 2, 5]
+    assert day == [20129, 2, 4]
 
 
 def test_running_again_changes_nothing(spark, cfg, tmp_path):
@@ -77,7 +77,7 @@ def test_months_gone_from_the_feeds_stay_in_bronze_but_not_in_silver(spark, cfg,
     write_feed(tmp_path / "feed.csv", [("2025-04-02", *BRONZE[0][1:])])
     result = medallion.run(spark, cfg, root, RUN_DATE)
     months = {r["partition_month"] for r in spark.read.parquet(root + "/bronze").collect()}
-    assert {1, 3, 4, 0} == months
+    assert {2, 3, 4, 0} == months
     assert {r["event_date"].month for r in result.silver.collect()} == {3, 4}
     assert result.report["row_counts"]["bronze"] == 2
 

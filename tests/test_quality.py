@@ -9,13 +9,13 @@ from marlstone import run_checks
 from marlstone.operators import quality
 from marlstone.plans.check import check_dataset
 
-RUN_DATE = dt.date(2026, 8, 10)
+RUN_DATE = dt.date(2026, 5, 20)
 
 
 @pytest.fixture()
 def sample(spark):
     return spark.createDataFrame(
-        [("2026-08-01 08:00", "ALPHA", 5), ("2026-08-02 09:00", "BETA", 0), ("2026-08-03 10:00", "ALPHA", 3)],
+        [("2026-05-11 07:30", "OMEGA", 8), ("2026-05-12 09:45", "SIGMA", 0), ("2026-05-13 10:05", "OMEGA", 2)],
         "event_ts string, station string, amount bigint")
 
 
@@ -40,7 +40,7 @@ def test_generic_checks_pass_in_order(sample):
         "schema_conformance", "timestamp_parse_rate", "station_null_rate", "non_negative_amount",
         "duplicate_rate", "freshness"]
     assert all(r.passed and r.layer == "test" for r in results)
-    assert results[-1].measured == "max event_ts 2026-08-03, 7 days before run date"
+    assert results[-1].measured == "max event_ts 2026-05-13, 7 days before run date"
 
 
 def test_unknown_keys_are_rejected(sample):
@@ -115,7 +115,7 @@ def test_colliding_hashes_are_not_duplicates(spark, monkeypatch):
 def test_freshness(spark, sample):
     r = one(sample, {"freshness": {"date_column": "event_ts", "max_age_days": 6}})
     assert not r.passed and r.threshold == "<= 6 days"
-    dates = spark.createDataFrame([(dt.date(2026, 8, 9),), (None,)], "v date")
+    dates = spark.createDataFrame([(dt.date(2026, 5, 19),), (None,)], "v date")
     assert one(dates, {"freshness": {"date_column": "v", "max_age_days": 1}}).passed
     never = one(values(spark, ["soon", None]), {"freshness": {"date_column": "v", "max_age_days": 1}})
     assert not never.passed and never.measured == "no parseable date"
@@ -170,7 +170,7 @@ def test_empty_table(spark):
         "timestamp_parse_rate": (0.0, False), "v_null_rate": (1.0, False), "non_negative_n": (0, True),
         "reference_coverage": (0.0, False), "duplicate_rate": (0.0, True),
         "mapped_value_coverage": (0.0, False),
-        "freshness": ("max ts 2026-08-10, 0 days before run date", True),
+        "freshness": ("max ts 2026-05-20, 0 days before run date", True),
         "volume_anomaly": ("insufficient history", False), "long_tail_rate": (1.0, False)}
 
 
