@@ -18,10 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a session without one (a local test) gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="marlstone-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="marlstone-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
@@ -32,8 +33,9 @@ def work_path(spark: SparkSession, label: str) -> str:
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through files in the shared folder."""
     spark = df.sparkSession
+    folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
 

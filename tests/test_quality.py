@@ -205,3 +205,50 @@ def test_results_keep_the_measure_as_text_and_number(spark, sample):
     assert rows["timestamp_parse_rate"]["measured"] == "1.0"
     assert rows["timestamp_parse_rate"]["measured_value"] == 1.0
     assert rows["schema_conformance"]["measured_value"] is None
+
+
+def by_hand(rows, reference, max_count):
+    """The rates in plain Python; None is missing, which is not blank, negative, known or rare."""
+    n = len(rows)
+    stamps, texts, numbers = zip(*rows)
+    count = {v: texts.count(v) for v in set(texts)}
+
+    def number(v):
+        try:
+            return float(v) if v is not None and v.strip() == v.strip("dDfFxX_ ") else None
+        except ValueError:
+            return None
+
+    def parses(v):
+        try:
+            dt.datetime.strptime(v or "", "%Y-%m-%d %H:%M")
+            return True
+        except ValueError:
+            return False
+
+    return {
+        "timestamp_parse_rate": sum(map(parses, stamps)) / n,
+        "text_null_rate": sum(v is not None and not v.strip() for v in texts) / n,
+        "non_negative_number": sum((number(v) or 0) < 0 for v in numbers),
+        "reference_coverage": sum(v is not None and v.strip().upper() in reference for v in texts) / n,
+        "duplicate_rate": (n - len(set(rows))) / n,
+        "mapped_value_coverage": sum(v not in ("UNKNOWN", "") for v in texts) / n,
+        "long_tail_rate": sum(v is not None and count[v] <= max_count for v in texts) / n,
+    }
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_suite_equals_a_calculation_by_hand(spark, seed):
+    rng = random.Random(seed)
+    stamps = [None, "", "2026-05-01 07:30", "2026-05-31 23:59", "2026-02-30 10:00", "later"]
+    texts = [None, "", "  ", "a", " A", "b ", "UNKNOWN", "c", *[f"rare{i}" for i in range(40)]]
+    numbers = [None, "", "-1", "-0", "5", "-2.5", "-3d", "nan", "x", "1e3", "-1e-3"]
+    rows = [(rng.choice(stamps), rng.choice(texts), rng.choice(numbers)) for _ in range(rng.randint(30, 400))]
+    df = spark.createDataFrame(rows, "stamp string, text string, number string").repartition(4)
+    results = run_checks(df, {
+        "timestamp_column": "stamp", "not_blank_max_rates": {"text": 0.1}, "non_negative_columns": ["number"],
+        "reference_coverage": {"column": "text", "min_rate": 0.5, "reference_values": ["a", "B"]},
+        "duplicate_max_rate": 0.2, "mapped_value_coverage": {"column": "text", "min_rate": 0.9},
+        "long_tail": {"column": "text", "max_count": 3, "max_rate": 0.5}}, RUN_DATE)
+    expected = by_hand(rows, {"A", "B"}, 3)
+    assert {r.name: r.measured for r in results} == {k: round(v, 4) for k, v in expected.items()}

@@ -161,3 +161,24 @@ def test_reference_codes(spark):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert sinks.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_session_without_one_gets_a_temporary_shared_dir():
+    class Context:
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder + "/run"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    session = Session()
+    first = sinks.shared_dir(session)
+    assert first and sinks.shared_dir(session) == first
+    session.conf = {"spark.checkpoint.dir": "hdfs://shared/work/"}
+    assert sinks.shared_dir(session) == "hdfs://shared/work"
