@@ -14,6 +14,7 @@ from marlstone.registry.inputs import (
 )
 from marlstone.registry.sql import bucket, cleaned, over
 from marlstone.sources import bronze as bronze_layer
+from marlstone.sources import sinks
 
 
 def bronze(spark, sf_dir):
@@ -21,7 +22,8 @@ def bronze(spark, sf_dir):
 
 
 def annotated(spark, sf_dir):
-    dimension = silver.code_dimension(code_list(spark, sf_dir))
+    """Typed bronze with descriptions; the dimension is stored, as a published list would be."""
+    dimension = sinks.reliable_checkpoint(silver.code_dimension(code_list(spark, sf_dir)))
     return silver.annotate(bronze(spark, sf_dir), dimension)
 
 

@@ -57,12 +57,13 @@ def read_csv_text(
     """CSV with a header, every column text; the reader yields null for blanks.
 
     Multi-line parsing makes a file unsplittable, so unless told the reader
-    first checks whether any record needs it.
+    first checks whether any record needs it. Files of a folder whose headers
+    differ fail instead of being lined up by position.
     """
     if multi_line is None:
         multi_line = has_quoted_line_breaks(spark, path)
     return spark.read.options(
-        header=True, inferSchema=False, quote='"', escape='"',
+        header=True, inferSchema=False, enforceSchema=False, quote='"', escape='"',
         multiLine=multi_line, **options,
     ).csv(path)
 

@@ -34,6 +34,14 @@ def test_quoted_line_breaks_are_found_and_read(spark, tmp_path):
     assert stations == {"two\nlines", "one"}
 
 
+def test_files_with_other_headers_are_not_lined_up_by_position(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "f" / "b.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_source(spark, SourceSpec("f", str(tmp_path / "f"))).collect()
+
+
 def test_row_ids_follow_file_order_across_splits(spark, tmp_path):
     path = feed(tmp_path / "big.csv", *[f"{i},d,t,x,s{i},c,1,1,n,l,v" for i in range(3000)])
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
