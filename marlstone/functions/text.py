@@ -61,12 +61,18 @@ def _cp1252_pairs() -> tuple[str, str]:
 _CP1252_SHOWN, _CP1252_RAW = _cp1252_pairs()
 
 
+# A multi-byte UTF-8 character shows as one of the first followed by one of the
+# second; text without such a pair cannot have been misread.
+_MISREAD_PAIR = f"[\u00c2-\u00f4][\u0080-\u00bf{_CP1252_SHOWN}]"
+
+
 def repair_mojibake(c: Column) -> Column:
     """Undo UTF-8 text that was read as windows-1252; anything else is unchanged.
 
     encode() raises on characters outside its charset, so the rlike guard has
-    to come first; CASE WHEN evaluates the branch only for rows that pass it.
+    to come first; CASE WHEN evaluates a branch only for rows that reach it.
     """
     as_bytes = F.translate(c, _CP1252_SHOWN, _CP1252_RAW)
     decoded = F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string"))
-    return F.coalesce(F.when(as_bytes.rlike(r"^[\x00-\xff]*$"), decoded), c)
+    repaired = F.when(as_bytes.rlike(r"^[\x00-\xff]*$"), decoded)
+    return F.coalesce(F.when(c.rlike(_MISREAD_PAIR), repaired), c)

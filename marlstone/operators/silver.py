@@ -52,8 +52,8 @@ def annotate(bronze: DataFrame, dimension: DataFrame, cfg: FeedConfig = FeedConf
     Rejected: no date, no delay or a negative delay. A bad time alone is kept.
     """
     typed = lookup(type_columns(bronze, cfg), dimension, "code_clean")
-    bad = F.col("event_date").isNull() | F.col("min_delay").isNull() | (F.col("min_delay") < 0)
-    return typed.withColumn("is_reject", bad)
+    usable_delay = F.coalesce(F.col("min_delay") >= 0, F.lit(False))
+    return typed.withColumn("is_reject", F.col("event_date").isNull() | ~usable_delay)
 
 
 def rejects(annotated: DataFrame) -> DataFrame:
@@ -67,14 +67,15 @@ def accepted(annotated: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key, the first by ``order``; nulls in the key are equal.
 
-    The remaining columns break ties, so that the survivor is the same on every
-    run even where a feed has no row position. The row_number filter also cuts
-    each key to one row per task before the shuffle, so a key copied many times
-    does not reach one reducer.
+    Where a column of the order is missing, all other columns break the ties,
+    so that the survivor is the same on every run. The row_number filter also
+    cuts each key to one row per task before the shuffle, so a key copied many
+    times does not reach one reducer.
     """
-    given = [c for c in order if c in df.columns]
-    rest = [c for c in df.columns if c not in keys and c not in given]
-    first = Window.partitionBy(*keys).orderBy(*given, *rest)
+    by = [c for c in order if c in df.columns]
+    if not order or len(by) < len(order):
+        by += [c for c in df.columns if c not in keys and c not in by]
+    first = Window.partitionBy(*keys).orderBy(*by)
     return (df.withColumn("_position", F.row_number().over(first))
               .where("_position = 1").drop("_position"))
 
@@ -108,10 +109,16 @@ def _physical(keys: Sequence[str]) -> list[str]:
 
 
 def silver(annotated: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
-    """Accepted rows, copies removed, in the silver schema."""
+    """Accepted rows, copies removed, in the silver schema.
+
+    The kept columns follow the source order as tie-breaks: a feed read from a
+    table has no row position.
+    """
     rows = accepted(annotated)
-    rows = rows.select(*_dedupe_input(rows, cfg))
-    return project_silver(keep_first(rows, _physical(cfg.dedupe_keys), SOURCE_ORDER))
+    kept = _dedupe_input(rows, cfg)
+    keys = _physical(cfg.dedupe_keys)
+    ties = [c for c in kept if c not in keys and c not in SOURCE_ORDER]
+    return project_silver(keep_first(rows.select(*kept), keys, (*SOURCE_ORDER, *ties)))
 
 
 def build_silver(
