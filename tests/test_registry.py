@@ -11,10 +11,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from marlstone.registry import catalog  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 # a file manifest reads bytes and times of files, which SQL over the tables cannot see
 WITHOUT_SQL = {"s17_file_manifest"}
 INVENTORY = (
@@ -47,6 +48,7 @@ def test_every_inventory_line_has_a_query():
     prefixes = {name.split("_")[0] for name in QUERIES}
     assert [i for i in INVENTORY if i not in prefixes] == []
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
