@@ -5,11 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, exact_dedup
+from marlstone.llm import decontaminate, exact_dedup, token_counts, token_output
+from marlstone.sources.sinks import work_path
 from marlstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+TOKENIZER = "byte_bpe_50k.json"
+CONTEXT_TOKENS = 1024
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op3_token_output")
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "tokens")
+    token_output.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_output.read_tokens(spark, path).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+    return counts.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+        (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit"))
+
 
 @query("op5_exact_dedup", """
 WITH norm AS (
