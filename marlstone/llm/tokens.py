@@ -15,7 +15,7 @@ import pyarrow as pa
 from marlstone.llm.arrays import ragged_positions, text_buffer
 
 CHUNK_BYTES = 4 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 800_000
 JOINED = 1000
 
 # Bytes that are neither white space nor control characters. Lead bytes under
@@ -87,7 +87,8 @@ class Encoder:
                 and not split.get("add_prefix_space") and not layout.get("normalizer")
                 and all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(" \n.,;:!?"))
                         for t in layout.get("added_tokens", [])))
-            self._marks = [t["content"].encode() for t in layout.get("added_tokens", [])]
+            self._marks = np.zeros(256, bool)
+            self._marks[[t["content"].encode()[0] for t in layout.get("added_tokens", [])]] = True
             line_break = self._encode(["\n"])[0]
             self._line_break = int(line_break[0]) if line_break.size == 1 else None
         self._reset()
@@ -111,19 +112,21 @@ class Encoder:
         self._n_ids += ids.size
         self._known.update(zip(pieces, range(n, n + m), strict=True))
 
-    def _joinable(self, piece: bytes) -> bool:
-        body = piece[1:] if piece[:1] == b" " else piece
-        if not body or self._line_break is None or any(m in piece for m in self._marks):
-            return False
-        if body.isascii():
-            return min(body) > 0x20 and 0x7F not in body
-        data = np.frombuffer(body, np.uint8)
-        return bool(np.all(_PLAIN[data] & ~_SPACE_LEADS[data]))
+    def _joinable(self, distinct: pa.Array) -> np.ndarray:
+        """True for pieces that may stand between line breaks in a longer string.
 
-    def _learn(self, pieces: list[bytes]) -> None:
+        They are plain characters after at most one space; one with a first
+        character of an added token in it is left out too.
+        """
+        data = np.frombuffer(distinct.buffers()[2], np.uint8)
+        offsets = np.frombuffer(distinct.buffers()[1], np.int64)
+        odd = (~_PLAIN | _SPACE_LEADS | self._marks)[data]
+        first = offsets[:-1]
+        odd[first[(data[first] == 0x20) & (np.diff(offsets) > 1)]] = False
+        return np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) == 0
+
+    def _learn(self, plain: list[bytes], apart: list[bytes]) -> None:
         """Many plain pieces are encoded in one string, a line break between them."""
-        apart = []
-        plain = [p for p in pieces if self._joinable(p) or apart.append(p)]
         groups = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
         for group, ids in zip(
                 groups, self._encode([b"\n".join(g).decode() for g in groups]) if groups else [], strict=True):
@@ -152,7 +155,10 @@ class Encoder:
             distinct = coded.dictionary.to_pylist()
             if len(self._known) + len(distinct) > CACHED_PIECES:
                 self._reset()
-            self._learn([p for p in distinct if p not in self._known])
+            plain = self._joinable(coded.dictionary).tolist() if self._line_break is not None else []
+            new = [i for i, p in enumerate(distinct) if p not in self._known]
+            self._learn([distinct[i] for i in new if plain and plain[i]],
+                        [distinct[i] for i in new if not (plain and plain[i])])
             numbers = np.fromiter((self._known[p] for p in distinct), np.int64, len(distinct))
             yield own[:-1], numbers[coded.indices.to_numpy(zero_copy_only=False)]
             at = stop
