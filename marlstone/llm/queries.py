@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, exact_dedup, token_counts, token_output
+from marlstone.llm import decontaminate, exact_dedup, near_dedup, token_counts, token_output
 from marlstone.sources.sinks import work_path
 from marlstone.llm.registry import ORACLES, QUERIES, query, table
 
@@ -21,6 +21,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query("op1_near_dedup")
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query("op3_token_output")
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
