@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, exact_dedup, near_dedup, token_counts, token_output
+from marlstone.llm import (
+    chat, decontaminate, exact_dedup, mixing, near_dedup, quality, token_counts, token_output,
+)
 from marlstone.sources.sinks import work_path
 from marlstone.llm.registry import ORACLES, QUERIES, query, table
+from marlstone.llm.storage import stored
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -64,3 +67,45 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op6_source_mixing", """
+WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+  SELECT source, sum(n) OVER () * sqrt(n) / sum(sqrt(n)) OVER () / n AS rate FROM counts),
+draws AS (SELECT source, rate, greatest(ceil(rate / 16), 1)::INT AS draws FROM rates),
+cdf AS (
+  SELECT source, k, sum(exp(-rate / draws + k * ln(rate / draws) - lgamma(k + 1)))
+         OVER (PARTITION BY source ORDER BY k) AS c
+  FROM draws, range(0, 101) t(k)),
+numbers AS (
+  SELECT doc_id, d.source, j,
+         ('0x' || substr(md5('20240607|' || doc_id || '|' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM documents d JOIN draws USING (source), range(1, draws + 1) t(j)),
+copies AS (
+  SELECT doc_id, n.source, count(*) AS n
+  FROM numbers n JOIN cdf ON cdf.source = n.source AND c <= u GROUP BY doc_id, n.source)
+SELECT doc_id, source, copy::INT AS mix_copy, md5('20240607|' || doc_id || '|' || copy || '|order') AS mix_key
+FROM copies, range(1, n + 1) t(copy)
+""")
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, mixing.source_rates(docs), seed=20240607)
+    return mixed.select("doc_id", "source", "mix_copy", "mix_key")
+
+
+@query("op9_chat_format")
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
+    return chat.read_back(stored(chat.format_chats(turns.unionByName(extra)), "chats"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.graded(table(spark, sf_dir, "labels")))
+    return quality.scores(docs, model).select(
+        F.col("id").alias("doc_id"), "expected_grade", "top_probability",
+        (F.col("top_probability") >= 0.5).alias("selected"))
