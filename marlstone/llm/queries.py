@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import (
-    chat, decontaminate, exact_dedup, mixing, near_dedup, quality, token_counts, token_output,
+    chat, decontaminate, exact_dedup, mixing, near_dedup, pii, quality, secrets, token_counts,
+    token_output,
 )
 from marlstone.sources.sinks import work_path
 from marlstone.llm.registry import ORACLES, QUERIES, query, table
@@ -30,6 +31,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op3_token_output")
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "tokens")
@@ -94,6 +100,20 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_copy", "mix_key")
 
 
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        own = F.filter("base", lambda s: s["kind"] == kind)
+        return F.size(own).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"))
+
+
 @query("op9_chat_format")
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
