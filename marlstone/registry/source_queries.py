@@ -234,6 +234,19 @@ def file_manifest(spark, sf_dir):
         "logical_name", "filename", "bytes", "sha256", "status")
 
 
+@query("s17_file_digests", """
+    SELECT CAST(n_nationkey AS VARCHAR) AS file_key, CAST(strlen(n_name) + 1 AS BIGINT) AS bytes,
+           sha256(concat(n_name, chr(10))) AS sha256
+    FROM nation""")
+def file_digests(spark, sf_dir):
+    """A nested feed of one text file per nation, scanned by path, size and content."""
+    path = sinks.work_path(spark, "nations")
+    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"), F.col("n_nationkey").alias("k"))
+    nations.repartition("k").write.partitionBy("k").text(path)
+    return manifests.scan_files(spark, {"nations": path}).select(
+        F.regexp_extract("filename", r"\Ak=(\d+)/", 1).alias("file_key"), "bytes", "sha256")
+
+
 @query("s19_reference_list", """
     SELECT DISTINCT code FROM (
         SELECT upper(event_type) AS code FROM events WHERE event_type <> 'signup'

@@ -2,47 +2,87 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# binaryFile loads a file into one row, so hashing needs a bound per file.
-HASH_LIMIT_BYTES = 512 * 1024 * 1024
+# A file is hashed in pieces of this many bytes, whatever its size.
+CHUNK_BYTES = 8 * 1024 * 1024
 
 MANIFEST_SCHEMA = (
     "logical_name string, filename string, source_url string, bytes bigint, "
     "modified timestamp, sha256 string, status string"
 )
+_SCAN_SCHEMA = (
+    "logical_name string, filename string, source_url string, bytes bigint, "
+    "modified timestamp, sha256 string"
+)
+
+
+def _relative_name(url: Column, root: str) -> Column:
+    """The file's path below ``root``; its base name where ``root`` is the file itself.
+
+    Files of sibling folders may share a base name, so that alone is no key.
+    """
+    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root)
+    fixed = plain.split("*")[0] if "*" in plain else plain + "/"
+    folder = "/" + fixed[:fixed.rfind("/") + 1].lstrip("./").lstrip("/")
+    at = F.locate(folder, url)
+    below = F.substring(url, at + len(folder), F.length(url))
+    return F.when((at > 0) & (folder != "/"), below).otherwise(F.element_at(F.split(url, "/"), -1))
+
+
+def with_digests(listing: DataFrame) -> DataFrame:
+    """``listing`` with the SHA-256 of every file, read as a stream by the task that has its row."""
+    chunk = CHUNK_BYTES
+
+    def digests(batches):
+        import hashlib
+        import re
 
+        import pyarrow as pa
+        from pyarrow import fs
 
-def scan_files(
-    spark: SparkSession, files: Mapping[str, str], hash_limit: int = HASH_LIMIT_BYTES,
-) -> DataFrame:
+        for batch in batches:
+            found = []
+            for url in batch.column("source_url").to_pylist():
+                if re.match(r"(file:)?/", url):
+                    store, path = fs.LocalFileSystem(), re.sub(r"^file:(//)?(?=/)", "", url)
+                else:
+                    root = re.match(r"[^:]+://[^/]*", url)[0]
+                    store, _ = fs.FileSystem.from_uri(root + "/")
+                    # object stores name the bucket in the path, file systems in the root
+                    path = url[len(root):] if root.startswith(("hdfs", "viewfs")) else url.split("://", 1)[1]
+                digest = hashlib.sha256()
+                with store.open_input_stream(path, compression=None) as stream:
+                    while piece := stream.read(chunk):
+                        digest.update(piece)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, "sha256"])
+
+    return listing.mapInArrow(digests, _SCAN_SCHEMA)
+
+
+def scan_files(spark: SparkSession, files: Mapping[str, str]) -> DataFrame:
     """One row per file of each logical source: size, modification time, SHA-256.
 
-    The length filter is pushed into the scan: content of files above
-    ``hash_limit`` is never loaded and their ``sha256`` is null.
+    Spark lists the files without reading them; each is then hashed by one task
+    in pieces, so memory does not grow with a file.
     """
-    parts = []
+    scanned = None
     for name, path in files.items():
-        listing = spark.read.format("binaryFile").load(path)
-        for hashed in (True, False):
-            subset = listing.where(
-                F.col("length") <= hash_limit if hashed else F.col("length") > hash_limit)
-            digest = F.sha2("content", 256) if hashed else F.lit(None).cast("string")
-            parts.append(subset.select(
-                F.lit(name).alias("logical_name"),
-                F.element_at(F.split("path", "/"), -1).alias("filename"),
-                F.col("path").alias("source_url"),
-                F.col("length").alias("bytes"),
-                F.col("modificationTime").alias("modified"),
-                digest.alias("sha256"),
-            ))
-    scanned = parts[0]
-    for part in parts[1:]:
-        scanned = scanned.unionByName(part)
-    return scanned
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        url = F.col("path")
+        part = listing.select(
+            F.lit(name).alias("logical_name"), _relative_name(url, path).alias("filename"),
+            url.alias("source_url"), F.col("length").alias("bytes"),
+            F.col("modificationTime").alias("modified"))
+        scanned = part if scanned is None else scanned.unionByName(part)
+    # one file per task: a listing is as long as the number of files
+    return with_digests(scanned.repartition(max(1, scanned.count())))
 
 
 def empty_manifest(spark: SparkSession) -> DataFrame:
@@ -50,18 +90,9 @@ def empty_manifest(spark: SparkSession) -> DataFrame:
 
 
 def compare(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """Status per file: unchanged_skipped when its content is the one seen last time.
-
-    Files too large to hash count as unchanged on equal size and time.
-    """
-    before = previous.select(
-        "logical_name", "filename",
-        F.col("bytes").alias("_bytes"), F.col("modified").alias("_modified"),
-        F.col("sha256").alias("_sha256"),
-    )
-    same_hash = F.col("sha256") == F.col("_sha256")
-    same_stat = (F.col("bytes") == F.col("_bytes")) & (F.col("modified") == F.col("_modified"))
-    unchanged = F.when(F.col("sha256").isNotNull(), same_hash).otherwise(same_stat)
+    """Status per file: unchanged_skipped when its content is the one seen last time."""
+    before = previous.select("logical_name", "filename", F.col("sha256").alias("_sha256"))
+    unchanged = F.col("sha256") == F.col("_sha256")
     return current.join(before, ["logical_name", "filename"], "left").select(
         *current.columns,
         F.when(unchanged, "unchanged_skipped").otherwise("downloaded").alias("status"),
@@ -70,3 +101,8 @@ def compare(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 def changed_files(manifest: DataFrame) -> DataFrame:
     return manifest.where(F.col("status") != "unchanged_skipped")
+
+
+def gone_files(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Files of the previous manifest that are no longer there."""
+    return previous.join(current, ["logical_name", "filename"], "left_anti")

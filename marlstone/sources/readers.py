@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,22 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_name(c) for c in df.columns]).drop("_id")
 
 
-def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
-    """True when some record spans lines: a line then holds an odd number of quotes."""
+def files_by_line_breaks(spark: SparkSession, path: str, quote: str = '"') -> tuple[list[str], list[str]]:
+    """(files with a record that spans lines, the other files), from one pass over the text.
+
+    A line then holds an odd number of quotes. Files without any line are in neither list.
+    """
     lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = quotes % 2 == 1
-    return not lines.where(odd).limit(1).isEmpty()
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    found = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.max((quotes % 2 == 1).cast("int")).alias("odd")).orderBy("file").collect()
+    names = [(unquote(r["file"]), r["odd"] == 1) for r in found]
+    return [f for f, odd in names if odd], [f for f, odd in names if not odd]
+
+
+def has_quoted_line_breaks(spark: SparkSession, path: str, quote: str = '"') -> bool:
+    """True when some record spans lines."""
+    return bool(files_by_line_breaks(spark, path, quote)[0])
 
 
 def _with_file_position(df: DataFrame) -> DataFrame:
@@ -57,15 +68,24 @@ def read_csv_text(
     """CSV with a header, every column text; the reader yields null for blanks.
 
     Multi-line parsing makes a file unsplittable, so unless told the reader
-    first checks whether any record needs it. Files of a folder whose headers
-    differ fail instead of being lined up by position.
+    first looks which files have a record that needs it, and parses only those
+    that way. Files of a folder whose headers differ fail instead of being lined
+    up by position. ``options`` go before the reader's own.
     """
-    if multi_line is None:
-        multi_line = has_quoted_line_breaks(spark, path)
-    return spark.read.options(
-        header=True, inferSchema=False, enforceSchema=False, quote='"', escape='"',
-        multiLine=multi_line, **options,
-    ).csv(path)
+    settings = {"header": True, "inferSchema": False, "enforceSchema": False, "quote": '"', "escape": '"', **options}
+    if multi_line is None and "multiLine" not in settings:
+        broken, plain = files_by_line_breaks(spark, path, settings["quote"])
+        if broken and plain:
+            # folders named key=value below the path are columns of all files alike
+            base = {} if set(path) & set("*?[{") else {"basePath": path}
+            parts = [spark.read.options(**settings, **base, multiLine=many).csv(files)
+                     for many, files in ((False, plain), (True, broken))]
+            if parts[0].columns != parts[1].columns:
+                raise ValueError(f"the files of {path} have different headers")
+            return _with_file_position(parts[0]).unionByName(_with_file_position(parts[1]))
+        multi_line = bool(broken)
+    settings.setdefault("multiLine", bool(multi_line))
+    return _with_file_position(spark.read.options(**settings).csv(path))
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -74,8 +94,7 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     Text feeds come back with '' for blanks; typed feeds keep their types.
     """
     if spec.format == "csv":
-        raw = read_csv_text(spark, spec.path, spec.multi_line, **spec.options)
-        return normalise_columns(_with_file_position(raw)).na.fill("")
+        return normalise_columns(read_csv_text(spark, spec.path, spec.multi_line, **spec.options)).na.fill("")
     if spec.format == "table":
         raw = spark.table(spec.path)
         return normalise_columns(raw)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,11 +17,14 @@ from marlstone.config import PARTITION_COLUMNS, SILVER_SCHEMA
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session without one (a local test) gets a temporary folder.
+    Only a local session without one gets a temporary folder: on a cluster every
+    executor would write to a disk of its own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="marlstone-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
@@ -41,15 +45,16 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 def write_partitioned(
     df: DataFrame, path: str, keys: Sequence[str] = PARTITION_COLUMNS, gather: bool = True,
+    replace: bool = False,
 ) -> None:
-    """Replace only the partitions present in ``df``; others stay.
+    """Replace only the partitions present in ``df``; others stay unless ``replace``.
 
     Rows are gathered per partition so that tasks x partitions small files do
     not appear; the rebalance splits a partition that is too big for one task.
     Input already in partition order needs no gathering and so no shuffle.
     """
     rows = df.hint("rebalance", *[F.col(k) for k in keys]) if gather else df
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic")
          .partitionBy(*keys).parquet(path))
 
 
@@ -79,6 +84,17 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(SILVER_SCHEMA.fields + layout)).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of this library's own that is no longer read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def publish_view(df: DataFrame, name: str = "silver_delays") -> DataFrame:
     """Make a frame visible to SQL under ``name``."""
     df.createOrReplaceTempView(name)

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.config import REQUIRED_COLUMNS, FeedConfig, SourceSpec
+from marlstone.functions import casting
+from marlstone.operators import joins
 from marlstone.sources import bronze, manifest, readers, sinks
 
 HEADER = "_id,Date,Time,Day,Station,Code,Min Delay,Min Gap,Bound,Line,Vehicle\n"
@@ -152,14 +154,32 @@ def test_manifest_hashes_and_statuses(spark, tmp_path):
     assert [r["logical_name"] for r in manifest.changed_files(second).collect()] == ["b"]
 
 
-def test_files_past_the_hash_limit_compare_by_size_and_time(spark, tmp_path):
-    (tmp_path / "big.bin").write_bytes(b"x" * 100)
-    files = {"big": str(tmp_path / "big.bin")}
-    scan = manifest.scan_files(spark, files, hash_limit=10)
-    first = manifest.compare(scan, manifest.empty_manifest(spark)).collect()
-    assert first[0]["sha256"] is None and first[0]["status"] == "downloaded"
-    stored = spark.createDataFrame(first, manifest.MANIFEST_SCHEMA)
-    assert manifest.compare(scan, stored).first()["status"] == "unchanged_skipped"
+def test_a_file_larger_than_one_read_is_hashed_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "CHUNK_BYTES", 1000)
+    content = bytes(range(256)) * 40
+    (tmp_path / "big file.csv.gz").write_bytes(content)
+    row = manifest.scan_files(spark, {"big": str(tmp_path / "big file.csv.gz")}).first()
+    assert (row["sha256"], row["bytes"]) == (hashlib.sha256(content).hexdigest(), len(content))
+
+
+def test_one_row_per_file_however_often_a_nested_feed_is_scanned(spark, tmp_path):
+    names = [f"k={k}/{part}.csv" for k in range(3) for part in ("a", "b")]
+    for name in names:
+        (tmp_path / "raw" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "raw" / name).write_text(name)
+    stored = manifest.empty_manifest(spark)
+    for turn in range(4):
+        rows = manifest.compare(manifest.scan_files(spark, {"feed": str(tmp_path / "raw")}), stored).collect()
+        assert sorted(r["filename"] for r in rows) == names
+        assert all(r["sha256"] == hashlib.sha256(r["filename"].encode()).hexdigest() for r in rows)
+        assert {r["status"] for r in rows} == {"unchanged_skipped" if turn else "downloaded"}
+        stored = spark.createDataFrame(rows, manifest.MANIFEST_SCHEMA)
+    (tmp_path / "raw" / names[0]).unlink()
+    current = manifest.scan_files(spark, {"feed": str(tmp_path / "raw")})
+    assert [r["filename"] for r in manifest.gone_files(current, stored).collect()] == [names[0]]
+    # a glob and a relative path name files by what follows their fixed part
+    globbed = manifest.scan_files(spark, {"feed": str(tmp_path / "raw" / "k=1*")})
+    assert sorted(r["filename"] for r in globbed.collect()) == names[2:4]
 
 
 def test_reference_codes(spark):
@@ -171,22 +191,77 @@ def test_shared_dir_comes_from_the_session(spark):
     assert sinks.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_a_session_without_one_gets_a_temporary_shared_dir():
-    class Context:
-        folder = None
+class Session:
+    """As much of a session as shared_dir looks at."""
 
-        def getCheckpointDir(self):
-            return self.folder
+    def __init__(self, master, folder=None):
+        session = self
 
-        def setCheckpointDir(self, folder):
-            self.folder = folder + "/run"
+        class Context:
+            def getCheckpointDir(self):
+                return session.folder
 
-    class Session:
-        sparkContext = Context()
-        conf = {}
+            def setCheckpointDir(self, path):
+                session.folder = path + "/run"
 
-    session = Session()
-    first = sinks.shared_dir(session)
-    assert first and sinks.shared_dir(session) == first
-    session.conf = {"spark.checkpoint.dir": "hdfs://shared/work/"}
-    assert sinks.shared_dir(session) == "hdfs://shared/work"
+        self.sparkContext, self.conf, self.folder = Context(), {}, folder
+        self.sparkContext.master = master
+
+
+def test_only_a_local_session_gets_a_temporary_shared_dir():
+    local = Session("local[4]")
+    first = sinks.shared_dir(local)
+    assert first and sinks.shared_dir(local) == first
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            sinks.shared_dir(Session(master))
+        named = Session(master)
+        named.conf = {"spark.checkpoint.dir": "hdfs://shared/work/"}
+        assert sinks.shared_dir(named) == "hdfs://shared/work"
+
+
+def test_options_of_a_source_go_before_the_readers_own(spark, tmp_path):
+    path = feed(tmp_path / "f.csv", r"1;2;'a \'b\' c'", header="x;y;z\n")
+    spec = SourceSpec("f", path, options={"sep": ";", "quote": "'", "escape": "\\"})
+    assert readers.read_source(spark, spec).first()["z"] == "a 'b' c"
+    assert readers.read_source(spark, SourceSpec("f", path, options={"header": "false", "multiLine": "true"})).count() == 2
+
+
+def test_only_files_with_line_breaks_lose_their_splits(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    for i in range(10):
+        rows = [f"{i},{k},t,x,s{k},c,1,1,n,l,v" for k in range(400)]
+        feed(tmp_path / "f" / f"{i}.csv", *rows, *(['9,d,t,x,"two\nlines",c,1,1,n,l,v'] if i == 3 else []))
+    settings = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = readers.read_source(spark, SourceSpec("f", str(tmp_path / "f")))
+        assert df.rdd.getNumPartitions() > 20
+        stations = [r["station"] for r in df.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(stations) == 4001 and stations.count("two\nlines") == 1
+
+
+def test_instants_do_not_move_with_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    seen = set()
+    try:
+        for name in ("UTC", "America/Toronto", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            df = spark.sql("SELECT timestamp_micros(1704160800000000) AS v")  # 2024-01-02 02:00 at offset zero
+            text = bronze.unify_text(df, ["v"]).first()["v"]
+            stamp = df.select(casting.parse_timestamp(F.col("v"), df.schema["v"].dataType).cast("string").alias("s"))
+            seen.add((text, stamp.first()["s"]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert seen == {("2024-01-02", "2024-01-02 02:00:00")}
+
+
+def test_wide_values_are_measured(spark):
+    wide = spark.createDataFrame([(1, ["x" * 1000] * 50, {"k": "y" * 5000}, bytearray(3000))],
+                                 "k int, a array<string>, m map<string,string>, b binary")
+    assert joins.measured_bytes(wide) > 50_000 + 5000 + 3000
