@@ -10,14 +10,21 @@ from pyspark.sql import types as T
 
 ISO_DATE = "yyyy-MM-dd"
 
-_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_ISO_MINUTE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$"
+# Anchors are absolute: $ also matches before a last line separator.
+_ISO_DATE = r"\A\d{4}-\d{1,2}-\d{1,2}\z"
+_ISO_MINUTE = r"\A\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}\z"
 _ISO_INSTANT = (
-    r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?))?"
-    r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?$"
+    r"\A(\d{4}-\d{1,2}-\d{1,2})(?:[ T]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?))?"
+    r"(?: ?(?:Z|[+-]\d{2}:?\d{2}))?\z"
 )
 # try_cast alone would take "5d" as 5 and "nan" as NaN, which is not < 0.
-_NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"
+_NUMBER = r"(?i)\A\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*\z"
+
+
+def _wall_clock(instant: Column) -> Column:
+    """The zone-free time that an instant shows at offset zero, whatever the session's zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def _try_format(c: Column, fmt: str) -> Column:
@@ -26,15 +33,24 @@ def _try_format(c: Column, fmt: str) -> Column:
     Parsed at offset zero and rebuilt from the epoch, so the session zone and
     its daylight-saving gaps cannot move a wall-clock value.
     """
-    instant = F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(fmt + " xxx"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    return _wall_clock(F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(fmt + " xxx")))
+
+
+def _iso_instant(c: Column) -> Column:
+    day = F.regexp_extract(c, _ISO_INSTANT, 1)
+    clock = F.regexp_extract(c, _ISO_INSTANT, 2)
+    joined = F.when(clock == "", day).otherwise(F.concat(day, F.lit(" "), clock))
+    return joined.try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column, formats: Sequence[str] = (ISO_DATE,)) -> Column:
-    """Date from text: the first format that fits. ISO takes the fast cast path."""
+    """Date from text: the first format that fits.
+
+    ISO takes the fast cast path, and may be followed by a time of day.
+    """
+    iso = F.when(c.rlike(_ISO_DATE), c.try_cast("date")).otherwise(_iso_instant(c).cast("date"))
     tries = [
-        F.when(c.rlike(_ISO_DATE), c.try_cast("date")) if fmt == ISO_DATE
+        iso if fmt == ISO_DATE
         else _try_format(c, fmt).cast("date")
         for fmt in formats
     ]
@@ -55,10 +71,12 @@ def event_timestamp(date: Column, time: Column, event_date: Column | None = None
 def parse_timestamp(c: Column, dtype: T.DataType, formats: Sequence[str] = ()) -> Column:
     """Zone-free timestamp of any column.
 
-    Typed columns pass as they are, numbers are nanoseconds since the epoch,
+    Typed columns pass as they are, instants at offset zero, numbers are nanoseconds since the epoch,
     text is read by ISO shape or by ``formats``.
     """
-    if isinstance(dtype, (T.DateType, T.TimestampNTZType, T.TimestampType)):
+    if isinstance(dtype, T.TimestampType):
+        return _wall_clock(c)
+    if isinstance(dtype, (T.DateType, T.TimestampNTZType)):
         return c.cast("timestamp_ntz")
     if isinstance(dtype, T.NumericType):
         return F.timestamp_add(
@@ -67,16 +85,15 @@ def parse_timestamp(c: Column, dtype: T.DataType, formats: Sequence[str] = ()) -
         )
     if formats:
         return F.coalesce(*[_try_format(c, fmt) for fmt in formats])
-    day = F.regexp_extract(c, _ISO_INSTANT, 1)
-    clock = F.regexp_extract(c, _ISO_INSTANT, 2)
-    joined = F.when(clock == "", day).otherwise(F.concat(day, F.lit(" "), clock))
-    return joined.try_cast("timestamp_ntz")
+    return _iso_instant(c)
 
 
 def parse_number(c: Column) -> Column:
-    """Double from text or number; null unless the whole text is one number."""
+    """Double from text or number; null unless the whole text is one number that fits."""
     text = c.cast("string")
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    value = F.trim(text).try_cast("double")
+    fits = (F.abs(value) < float("inf")) | text.rlike("(?i)inf")
+    return F.when(text.rlike(_NUMBER) & fits, value)
 
 
 def event_hour(ts: Column) -> Column:
@@ -112,7 +129,9 @@ def float_text(c: Column) -> Column:
 
 def published_text(c: Column, dtype: T.DataType) -> Column:
     """A cell as the text a reader of the published file would see; null is ''."""
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        text = _wall_clock(c).cast("date").cast("string")
+    elif isinstance(dtype, (T.DateType, T.TimestampNTZType)):
         text = c.cast("date").cast("string")
     elif dtype.typeName() == "time":
         text = F.substring(c.cast("string"), 1, 5)

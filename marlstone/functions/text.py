@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Java's Unicode \s leaves out the four separators U+001C-U+001F, and trim()
 # only knows U+0020, so every whitespace rule goes through these two patterns.
 _SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
-_SPACE_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_SPACE_ENDS = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
 
 def strip(c: Column) -> Column:
@@ -70,9 +70,10 @@ def repair_mojibake(c: Column) -> Column:
     """Undo UTF-8 text that was read as windows-1252; anything else is unchanged.
 
     encode() raises on characters outside its charset, so the rlike guard has
-    to come first; CASE WHEN evaluates a branch only for rows that reach it.
+    to come first; CASE WHEN evaluates a branch only for rows that reach it. Its
+    anchors are absolute: $ would also match before a last line separator.
     """
     as_bytes = F.translate(c, _CP1252_SHOWN, _CP1252_RAW)
     decoded = F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string"))
-    repaired = F.when(as_bytes.rlike(r"^[\x00-\xff]*$"), decoded)
+    repaired = F.when(as_bytes.rlike(r"\A[\x00-\xff]*\z"), decoded)
     return F.coalesce(F.when(c.rlike(_MISREAD_PAIR), repaired), c)

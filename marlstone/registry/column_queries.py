@@ -80,6 +80,21 @@ def mojibake_repair(spark, sf_dir):
         F.md5(text.repair_mojibake(F.col("text"))).alias("untouched"))
 
 
+@query("p4_mojibake_windows_1252", """
+    SELECT doc_id, md5(text) AS repaired,
+           md5(concat(text, chr(233), chr(CAST(8232 + doc_id % 2 AS INTEGER)))) AS separated
+    FROM documents""")
+def mojibake_windows_1252(spark, sf_dir):
+    """Documents read as windows-1252, its printable characters on bytes 80-9F; a line separator at the end stops repair."""
+    shown, raw = text._CP1252_SHOWN, text._CP1252_RAW
+    garbled = F.translate(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"), raw, shown)
+    separator = F.when(F.col("doc_id") % 2 == 0, "\u2028").otherwise("\u2029")
+    kept = F.concat(F.col("text"), F.lit("\u00e9"), separator)
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.md5(text.repair_mojibake(garbled)).alias("repaired"),
+        F.md5(text.repair_mojibake(kept)).alias("separated"))
+
+
 @query("p4_code_descriptions", over("code_list", "SELECT code_clean, code_description FROM code_list"))
 def code_descriptions(spark, sf_dir):
     return silver.code_dimension(code_list(spark, sf_dir))
@@ -99,6 +114,18 @@ def date_parse(spark, sf_dir):
         "source_file", "source_row_id", casting.parse_date(F.col("date")).alias("event_date"))
 
 
+@query("p6_date_parse_iso_instant", """
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS event_date FROM orders""")
+def date_parse_iso_instant(spark, sf_dir):
+    """ISO dates as feeds publish them: alone, or with a time after a T or a space."""
+    day = F.col("o_orderdate")
+    pick = F.col("o_custkey") % 4
+    published = F.when(pick == 0, F.date_format(day, "yyyy-MM-dd")).when(
+        pick == 1, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss")).when(
+        pick == 2, F.date_format(day, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm'Z'"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", casting.parse_date(published).alias("event_date"))
+
+
 @query("p6_date_parse_other_formats", """
     SELECT o_orderkey, CASE WHEN o_custkey % 211 <> 0 THEN CAST(o_orderdate AS DATE) END AS event_date
     FROM orders""")

@@ -21,8 +21,9 @@ DATES = ["2024-01-02", "2024-1-2", "2024-02-30", " 2024-01-02", "2024-01-02 ", "
 
 
 def test_dates_parse_as_pandas_does(spark):
-    expected = [None if pd.isna(v) else v.date()
-                for v in pd.to_datetime(pd.Series(DATES), errors="coerce", format="%Y-%m-%d")]
+    alone, timed = (pd.to_datetime(pd.Series(DATES), errors="coerce", format=f)
+                    for f in ("%Y-%m-%d", "%Y-%m-%d %H:%M"))
+    expected = [None if pd.isna(v) else v.date() for v in alone.fillna(timed)]
     assert column(spark, DATES, casting.parse_date) == expected
 
 

@@ -121,3 +121,13 @@ def test_json_rows_mix_types_and_drop_empty_fractions(spark):
     df = spark.createDataFrame([(1, 'a"b', 7.0, 2.5, None)], "a int, b string, c double, d double, e double")
     from marlstone.operators.exports import as_arrays
     assert as_arrays(df).first()["row"] == '[1,"a\\"b",7,2.5,null]'
+
+
+def test_repair_leaves_text_before_a_line_separator_alone(spark):
+    """$ would match before a last separator, and the encoder would then fail on it."""
+    garbled = "é".encode().decode("cp1252")
+    for end in ("\u0085", "\u2028", "\u2029", "\n"):
+        df = spark.createDataFrame([(garbled + end,), (end + garbled,)], "v string")
+        got = [r["v"] for r in df.select(text.repair_mojibake(F.col("v")).alias("v")).collect()]
+        fixable = end == "\n"
+        assert got == (["é" + end, end + "é"] if fixable else [garbled + end, end + garbled])
