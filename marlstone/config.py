@@ -101,7 +101,8 @@ class FeedConfig:
     """A dataset: its feeds in priority order, its code reference, its rules.
 
     ``time_ordered`` says that the raw files are in date order, which saves the
-    shuffle that gathers bronze by month.
+    shuffle that gathers bronze by month. ``view_name`` is what SQL calls silver;
+    give every dataset of a session its own.
     """
 
     sources: tuple[SourceSpec, ...] = ()
@@ -114,3 +115,4 @@ class FeedConfig:
     dedupe_keys: tuple[str, ...] = DEDUPE_KEYS
     thresholds: dict = field(default_factory=lambda: dict(THRESHOLDS))
     time_ordered: bool = False
+    view_name: str = "silver_delays"

@@ -121,7 +121,7 @@ def rolling_daily(df: DataFrame, period: str = ALL, days: int = ROLLING_DAYS) ->
     The all-lines series is summed from the lines' daily totals, so the rows
     are read once. Each series holds at most one row per day of the period.
     """
-    by_line = gold.days_by_line(in_period(df, period))
+    by_line = gold.line_days(in_period(df, period))
     totals = by_line.groupingSets(
         [["event_date", "line_canonical"], ["event_date"]], "event_date", "line_canonical",
     ).agg(F.sum(TOTAL).alias(TOTAL), F.grouping("line_canonical").alias("_all"))
@@ -147,7 +147,7 @@ def line_totals(df: DataFrame, period: str = ALL) -> DataFrame:
 
 def top_line_share(df: DataFrame, period: str = ALL) -> DataFrame:
     """The worst line and its whole-percent share of the period's total."""
-    lines = line_totals(df, period)
+    lines = gold.line_summary(in_period(df, period)).select("line_canonical", TOTAL)
     worst = F.min_by(F.struct("line_canonical", TOTAL), F.struct(-F.col(TOTAL), "line_canonical"))
     found = lines.agg(worst.alias("worst"), F.sum(TOTAL).alias("_sum"))
     share = F.floor(F.col(f"worst.{TOTAL}") / F.nullif(F.col("_sum"), F.lit(0)) * 100 + 0.5)

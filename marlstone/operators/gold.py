@@ -100,10 +100,14 @@ def code_cube(silver: DataFrame) -> DataFrame:
 
 # --- gold models ------------------------------------------------------------
 
-def daily_summary(df: DataFrame) -> DataFrame:
+def day_summary(df: DataFrame) -> DataFrame:
+    """Per day, in no order."""
     return df.groupBy("event_date").agg(
-        _incidents(df), _delayed(df), _total(df), _average(df), _stations("stations_affected"),
-    ).orderBy("event_date")
+        _incidents(df), _delayed(df), _total(df), _average(df), _stations("stations_affected"))
+
+
+def daily_summary(df: DataFrame) -> DataFrame:
+    return day_summary(df).orderBy("event_date")
 
 
 def monthly_trend(df: DataFrame) -> DataFrame:
@@ -118,11 +122,15 @@ def delays_by_hour(df: DataFrame) -> DataFrame:
         _incidents(df), _total(df)).orderBy(F.asc_nulls_last("event_hour"))
 
 
-def delays_by_line(df: DataFrame) -> DataFrame:
+def line_summary(df: DataFrame) -> DataFrame:
+    """Per line, in no order."""
     share = round_half_up(percent(_delayed(df), _incidents(df)), 1)
     return df.groupBy("line_canonical").agg(
-        _incidents(df), _total(df), _average(df), share.alias("pct_incidents_with_delay"),
-    ).orderBy(F.desc(TOTAL), "line_canonical")
+        _incidents(df), _total(df), _average(df), share.alias("pct_incidents_with_delay"))
+
+
+def delays_by_line(df: DataFrame) -> DataFrame:
+    return line_summary(df).orderBy(F.desc(TOTAL), "line_canonical")
 
 
 def named_stations(df: DataFrame) -> DataFrame:
@@ -181,32 +189,51 @@ def headline(df: DataFrame) -> DataFrame:
 
 # --- breakdowns for filters -------------------------------------------------
 
+def line_totals(df: DataFrame, grain: str = "year") -> DataFrame:
+    """Per (period, line), with distinct stations, in no order; needs silver or the station cube.
+
+    Further aggregates start from this: Spark keeps a sort below a sum of
+    doubles, so an ordered view would be sorted for nobody.
+    """
+    return with_periods(df).groupBy(*GRAINS[grain], "line_canonical").agg(
+        _incidents(df), _total(df), _stations("stations"))
+
+
 def totals_by_line(df: DataFrame, grain: str = "year") -> DataFrame:
-    """Per (period, line), with distinct stations; needs silver or the station cube."""
-    keys = (*GRAINS[grain], "line_canonical")
-    return with_periods(df).groupBy(*keys).agg(
-        _incidents(df), _total(df), _stations("stations")).orderBy(*keys)
+    """``line_totals`` in order of period and line."""
+    return line_totals(df, grain).orderBy(*GRAINS[grain], "line_canonical")
+
+
+def line_hours(df: DataFrame, grain: str = "year") -> DataFrame:
+    """Per (period, line, hour), in no order."""
+    return with_periods(df).groupBy(*GRAINS[grain], "line_canonical", "event_hour").agg(_incidents(df), _total(df))
 
 
 def hours_by_line(df: DataFrame, grain: str = "year") -> DataFrame:
     keys = (*GRAINS[grain], "line_canonical", "event_hour")
-    return with_periods(df).groupBy(*keys).agg(
-        _incidents(df), _total(df)).orderBy(*[F.asc_nulls_last(k) for k in keys])
+    return line_hours(df, grain).orderBy(*[F.asc_nulls_last(k) for k in keys])
+
+
+def line_months(df: DataFrame) -> DataFrame:
+    """Per (month, line), in no order."""
+    return df.groupBy("event_year_month", "line_canonical").agg(_incidents(df), _total(df))
 
 
 def months_by_line(df: DataFrame) -> DataFrame:
-    keys = ("event_year_month", "line_canonical")
-    return df.groupBy(*keys).agg(
-        _incidents(df), _total(df)).orderBy(*[F.asc_nulls_last(k) for k in keys])
+    return line_months(df).orderBy(*[F.asc_nulls_last(k) for k in ("event_year_month", "line_canonical")])
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
     return df.groupBy("event_date").agg(_total(df)).orderBy("event_date")
 
 
+def line_days(df: DataFrame) -> DataFrame:
+    """Total per day and line, in no order."""
+    return df.groupBy("event_date", "line_canonical").agg(_total(df))
+
+
 def days_by_line(df: DataFrame) -> DataFrame:
-    keys = ("event_date", "line_canonical")
-    return df.groupBy(*keys).agg(_total(df)).orderBy(*keys)
+    return line_days(df).orderBy("event_date", "line_canonical")
 
 
 def station_totals(df: DataFrame, grain: str = "year") -> DataFrame:

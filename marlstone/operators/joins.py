@@ -8,17 +8,23 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DatetimeType, T.AnyTimeType, T.AnsiIntervalType, T.NullType)
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` in memory, estimated by reading it: text bytes plus row overhead."""
-    text = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
-        for f in df.schema.fields if isinstance(f.dataType, T.StringType)
-    ]
+    """Size of ``df`` in memory, estimated by reading it: variable widths plus row overhead.
+
+    Nested values count as the JSON that spells them out.
+    """
     width = F.lit(ROW_OVERHEAD_BYTES + 8 * len(df.columns))
-    for part in text:
-        width = width + part
+    for field in df.schema.fields:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        elif not isinstance(field.dataType, _FIXED_WIDTH):
+            width = width + F.coalesce(F.octet_length(value.cast("string")), F.lit(0))
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 

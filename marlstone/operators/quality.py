@@ -14,6 +14,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.config import BRONZE_REQUIRED, THRESHOLDS
 from marlstone.functions.casting import parse_number, parse_timestamp
@@ -70,12 +71,29 @@ class QualityGateError(RuntimeError):
 
 # --- measures: DataFrame -> small DataFrame ---------------------------------
 
+def named(column: str) -> Column:
+    """A column by its whole name, which may hold dots."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def _text(c: str) -> Column:
-    return F.col(c).cast("string")
+    return named(c).cast("string")
+
+
+def _present(df: DataFrame, column: str) -> Column:
+    """The value, or null where it is NaN: that is a missing number, not one."""
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(named(column)), named(column))
+    return named(column)
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """(value, rows): how often each value occurs; missing ones are one null."""
+    return df.groupBy(_present(df, column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def parsed_timestamp(df: DataFrame, column: str) -> Column:
-    return parse_timestamp(F.col(column), df.schema[column].dataType)
+    return parse_timestamp(named(column), df.schema[column].dataType)
 
 
 def count_parseable(df: DataFrame, column: str) -> Column:
@@ -84,11 +102,11 @@ def count_parseable(df: DataFrame, column: str) -> Column:
 
 def count_blank(column: str) -> Column:
     """Blank text only; a null is missing, not blank."""
-    return F.count_if(is_blank(F.col(column)))
+    return F.count_if(is_blank(named(column)))
 
 
 def count_negative(column: str) -> Column:
-    return F.count_if(F.coalesce(parse_number(F.col(column)) < 0, F.lit(False)))
+    return F.count_if(F.coalesce(parse_number(named(column)) < 0, F.lit(False)))
 
 
 def count_mapped(column: str, unknown: Iterable[str]) -> Column:
@@ -101,23 +119,22 @@ def latest_date(df: DataFrame, column: str) -> Column:
     return F.max(parsed_timestamp(df, column)).cast("date")
 
 
-def coverage(df: DataFrame, column: str, reference: DataFrame) -> DataFrame:
-    """(hits, reference_size): rows whose value is in a one-column reference frame.
+def coverage(counts: DataFrame, reference: DataFrame) -> DataFrame:
+    """(hits): rows whose value is in a one-column reference frame.
 
     Rows are counted per value first, so the join sees each value once and a
     hot value costs nothing.
     """
-    wanted = reference.select(strip_upper(F.col(reference.columns[0]).cast("string")).alias("_value"))
+    wanted = reference.select(strip_upper(named(reference.columns[0]).cast("string")).alias("_value"))
     wanted = wanted.where(F.col("_value").isNotNull()).distinct().withColumn("_hit", F.lit(True))
-    counts = df.groupBy(strip_upper(_text(column)).alias("_value")).agg(
-        F.count(F.lit(1)).alias("_rows"))
-    return lookup(counts, wanted, "_value").agg(
+    cleaned = counts.groupBy(strip_upper(F.col("_value").cast("string")).alias("_value")).agg(
+        F.sum("_rows").alias("_rows"))
+    return lookup(cleaned, wanted, "_value").agg(
         F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_rows"))), F.lit(0)).alias("hits"))
 
 
-def long_tail(df: DataFrame, column: str, max_count: int) -> DataFrame:
-    """(rows, tail_rows): rows whose value occurs at most ``max_count`` times, nulls never."""
-    counts = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+def long_tail(counts: DataFrame, max_count: int) -> DataFrame:
+    """(rows, tail_rows): rows whose value occurs at most ``max_count`` times, missing ones never."""
     rare = F.col("_value").isNotNull() & (F.col("_rows") <= max_count)
     return counts.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
@@ -125,24 +142,23 @@ def long_tail(df: DataFrame, column: str, max_count: int) -> DataFrame:
     )
 
 
-def recent_periods(df: DataFrame, column: str, at_least: int = TRAILING_PERIODS) -> DataFrame:
+def recent_periods(counts: DataFrame, at_least: int = TRAILING_PERIODS) -> DataFrame:
     """The last periods with their row counts, newest first.
 
     Only these decide the check: fewer rows than asked for means that the
     table has no more periods.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("period")).agg(
-        F.count(F.lit(1)).alias("rows"))
-    return counts.orderBy(F.desc("period")).limit(max(at_least, TRAILING_PERIODS))
+    periods = counts.where("_value is not null").select(F.col("_value").alias("period"), F.col("_rows").alias("rows"))
+    return periods.orderBy(F.desc("period")).limit(max(at_least, TRAILING_PERIODS))
 
 
-def volume_deviation(df: DataFrame, column: str, at_least: int = TRAILING_PERIODS) -> DataFrame:
+def volume_deviation(counts: DataFrame, at_least: int = TRAILING_PERIODS) -> DataFrame:
     """(periods, latest, baseline, deviation) over the most recent periods.
 
     The newest period may be partial, so the one before it is the latest full
     one; the baseline is the mean of up to six before that.
     """
-    newest_first = recent_periods(df, column, at_least).agg(
+    newest_first = recent_periods(counts, at_least).agg(
         F.sort_array(F.collect_list(F.struct("period", "rows")), asc=False).alias("_recent"))
     rows = F.col("_recent.rows")
     prior = F.slice(rows, 3, TRAILING_PERIODS - 2)
@@ -163,7 +179,7 @@ def repeated_rows(df: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> in
     row; only rows whose hash occurs twice can repeat and are compared in full.
     Runs jobs, because how many there are decides how to compare them.
     """
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns = [named(c) for c in df.columns]
     hashed = F.xxhash64(*columns)
     suspects = reliable_checkpoint(
         df.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -183,13 +199,21 @@ def repeated_rows(df: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> in
 
 @dataclass(frozen=True)
 class _Suite:
-    """One table under one config, with the measures of the fused pass."""
+    """One table under one config, with the measures of the fused pass.
+
+    ``counts`` may hold, by column, a frame of value counts that is there
+    already; other columns are counted from the table.
+    """
 
     df: DataFrame
     config: Mapping
     layer: str
     run_date: dt.date
     measured: Mapping
+    counts: Mapping[str, DataFrame]
+
+    def values(self, column: str) -> DataFrame:
+        return self.counts[column] if column in self.counts else value_counts(self.df, column)
 
     @property
     def rows(self) -> int:
@@ -243,7 +267,7 @@ def _references(suite: _Suite) -> Iterator[CheckResult]:
     known = spec["reference_values"]
     if not isinstance(known, DataFrame):
         known = suite.df.sparkSession.createDataFrame([(str(v),) for v in known], "value string")
-    hits = coverage(suite.df, spec["column"], known).first()["hits"] if suite.rows else 0
+    hits = coverage(suite.values(spec["column"]), known).first()["hits"] if suite.rows else 0
     yield suite.at_least(
         spec.get("name", "reference_coverage"), suite.share(hits, 0.0), float(spec["min_rate"]),
         f"rows whose {spec['column']} is in the reference set")
@@ -280,7 +304,7 @@ def _volume(suite: _Suite) -> Iterator[CheckResult]:
     spec = suite.config["volume_anomaly"]
     ceiling = float(spec["max_deviation"])
     minimum = int(spec.get("min_periods", DEFAULT_MIN_PERIODS))
-    found = volume_deviation(suite.df, spec["period_column"], minimum).first()
+    found = volume_deviation(suite.values(spec["period_column"]), minimum).first()
     if found["periods"] < minimum or found["latest"] is None:
         yield suite.result("volume_anomaly", False, NO_HISTORY, f"<= {ceiling}",
                            f"{found['periods']} periods, {minimum} needed")
@@ -295,7 +319,7 @@ def _volume(suite: _Suite) -> Iterator[CheckResult]:
 def _tail(suite: _Suite) -> Iterator[CheckResult]:
     spec = suite.config["long_tail"]
     limit = int(spec["max_count"])
-    found = long_tail(suite.df, spec["column"], limit).first()
+    found = long_tail(suite.values(spec["column"]), limit).first()
     rate = found["tail_rows"] / found["rows"] if found["rows"] else 1.0
     yield suite.at_most(spec.get("name", "long_tail_rate"), rate, float(spec["max_rate"]),
                         f"rows whose {spec['column']} occurs at most {limit} times")
@@ -340,13 +364,14 @@ def _fused(df: DataFrame, config: Mapping) -> dict:
 
 def run_checks(
     df: DataFrame, config: Mapping, run_date: dt.date | None = None,
+    counts: Mapping[str, DataFrame] | None = None,
 ) -> list[CheckResult]:
     """Run the checks named in ``config``, in a fixed order."""
     unknown = sorted(set(config) - set(KNOWN_KEYS))
     if unknown:
         raise ValueError(UNKNOWN_KEYS.format(keys=unknown))
     suite = _Suite(df, config, str(config.get("layer", "dataset")),
-                   run_date or dt.date.today(), _fused(df, config))
+                   run_date or dt.date.today(), _fused(df, config), counts or {})
     return [result for key, check in CHECKS.items() if key in config for result in check(suite)]
 
 
@@ -390,12 +415,17 @@ def preset_configs(reference_values, limits: Mapping = THRESHOLDS) -> tuple[dict
 def run_preset(
     bronze: DataFrame, silver: DataFrame, reference_values,
     run_date: dt.date | None = None, limits: Mapping = THRESHOLDS,
+    counts: Mapping[str, DataFrame] | None = None,
 ) -> list[CheckResult]:
-    """The ten preset checks: one on bronze, nine on silver."""
+    """The ten preset checks: one on bronze, nine on silver.
+
+    With ``counts`` from the cubes, silver is read for the plain aggregates and
+    for the duplicates alone.
+    """
     bronze_config, silver_config = preset_configs(reference_values, limits)
     columns = [f for f in silver.columns if not f.startswith("partition_")]
     return (run_checks(bronze, bronze_config, run_date)
-            + run_checks(silver.select(*columns), silver_config, run_date))
+            + run_checks(silver.select(*columns), silver_config, run_date, counts))
 
 
 def results_frame(spark: SparkSession, results: Iterable[CheckResult]) -> DataFrame:

@@ -14,8 +14,10 @@ from marlstone.functions.casting import (
 from marlstone.functions.text import clean_text, map_by_rules, repair_mojibake, strip, strip_upper
 from marlstone.operators.joins import lookup
 from marlstone.sources.readers import ROW_ID
+from marlstone.sources.sinks import reliable_checkpoint
 
 SOURCE_ORDER = ("source_ord", ROW_ID)
+BROADCAST_KEYS = 1_000_000  # hashes of repeated keys, sixteen bytes each in the hash table
 
 
 def code_dimension(codes: DataFrame) -> DataFrame:
@@ -64,20 +66,41 @@ def accepted(annotated: DataFrame) -> DataFrame:
     return annotated.where(~F.col("is_reject")).drop("is_reject")
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), broadcast_keys: int = BROADCAST_KEYS,
+) -> DataFrame:
     """One row per key, the first by ``order``; nulls in the key are equal.
 
     Where a column of the order is missing, all other columns break the ties,
-    so that the survivor is the same on every run. The row_number filter also
-    cuts each key to one row per task before the shuffle, so a key copied many
-    times does not reach one reducer.
+    so that the survivor is the same on every run.
+
+    Keys are first counted by a 64-bit hash, which shuffles sixteen bytes per
+    key and task. Only rows whose hash occurs twice can be copies and are
+    ranked; all others pass as they are, neither sorted nor shuffled. The
+    ranking's filter cuts each key to one row per task before its shuffle, so a
+    key copied many times does not reach one reducer. Runs jobs, because how
+    many keys are repeated decides whether they can be broadcast; past
+    ``broadcast_keys`` all rows are ranked.
     """
     by = [c for c in order if c in df.columns]
     if not order or len(by) < len(order):
         by += [c for c in df.columns if c not in keys and c not in by]
     first = Window.partitionBy(*keys).orderBy(*by)
-    return (df.withColumn("_position", F.row_number().over(first))
-              .where("_position = 1").drop("_position"))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_position", F.row_number().over(first)).where("_position = 1").drop("_position")
+
+    hashed = F.xxhash64(*keys)
+    repeated = reliable_checkpoint(
+        df.groupBy(hashed.alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_key"))
+    found = repeated.count()
+    if not found:
+        return df
+    if found > broadcast_keys:
+        return ranked(df)
+    small, keyed = F.broadcast(repeated), df.withColumn("_key", hashed)
+    alone = keyed.join(small, "_key", "left_anti").drop("_key")
+    return alone.unionByName(ranked(keyed.join(small, "_key", "left_semi").drop("_key")))
 
 
 def project_silver(df: DataFrame) -> DataFrame:

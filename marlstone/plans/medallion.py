@@ -8,10 +8,11 @@ once per cube; gold and all export sections come from the cubes.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from marlstone.config import FeedConfig
 from marlstone.operators import exports, gold, quality
 from marlstone.operators.gold import INCIDENTS, TOTAL
-from marlstone.operators.silver import build_silver
+from marlstone.operators.silver import annotate, code_dimension, rejects
+from marlstone.operators.silver import silver as silver_rows
 from marlstone.sources import bronze as bronze_layer
 from marlstone.sources import manifest as manifests
 from marlstone.sources import sinks
@@ -29,7 +31,6 @@ from marlstone.sources.readers import read_source, reference_codes
 
 WRITERS = 8  # independent output tables written at the same time
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,13 @@ def silver_cubes(silver: DataFrame) -> Cubes:
     return Cubes(gold.time_cube(silver), gold.station_cube(silver), gold.code_cube(silver))
 
 
+def cube_counts(cubes: Cubes) -> dict[str, DataFrame]:
+    """(value, rows) by column of silver, summed from the cubes."""
+    sources = {"code_clean": cubes.by_code, "station": cubes.by_station, "event_year_month": cubes.by_time}
+    return {column: cube.groupBy(F.col(column).alias("_value")).agg(F.sum(INCIDENTS).alias("_rows"))
+            for column, cube in sources.items()}
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
     """Enough shuffle partitions that one holds about SHUFFLE_TARGET_BYTES of raw data.
@@ -81,7 +89,7 @@ def sized_shuffles(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
     """
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-raw_bytes // SHUFFLE_TARGET_BYTES))
+    wanted = -(-raw_bytes // SHUFFLE_TARGET_BYTES)
     spark.conf.set(setting, str(max(int(before), wanted)))
     try:
         yield
@@ -89,10 +97,22 @@ def sized_shuffles(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def table_bytes(spark: SparkSession, cfg: FeedConfig) -> int:
+    """Size of the sources that are catalog tables, as the optimizer estimates it."""
+    names = [s.path for s in (*cfg.sources, *([cfg.codes] if cfg.codes else [])) if s.format == "table"]
+    plans = [spark.table(name)._jdf.queryExecution().optimizedPlan() for name in names]
+    return sum(int(str(p.stats().sizeInBytes())) for p in plans)
+
+
 # --- steps ------------------------------------------------------------------
 
-def update_manifest(spark: SparkSession, cfg: FeedConfig, layout: Layout, run_id: str) -> DataFrame:
-    """This run's manifest rows, compared with the run before and kept with it."""
+def update_manifest(
+    spark: SparkSession, cfg: FeedConfig, layout: Layout, run_id: str,
+) -> tuple[DataFrame, bool]:
+    """This run's manifest rows, compared with the run before and kept with it.
+
+    Also whether any file is new, changed or gone.
+    """
     path = layout.path("manifest")
     nothing = manifests.empty_manifest(spark).withColumn("run_id", F.lit(run_id))
     nothing.write.mode("ignore").parquet(path)  # first run only
@@ -105,23 +125,26 @@ def update_manifest(spark: SparkSession, cfg: FeedConfig, layout: Layout, run_id
     if files:
         rows = manifests.compare(manifests.scan_files(spark, files), previous)
         rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
-    return spark.read.schema(nothing.schema).parquet(path).where(F.col("run_id") == run_id)
+    history = spark.read.schema(nothing.schema).parquet(path)
+    current, previous = history.where(F.col("run_id") == run_id), history.where(F.col("run_id") == last)
+    same = manifests.changed_files(current).isEmpty() and manifests.gone_files(current, previous).isEmpty()
+    return current, not same
 
 
-def build_bronze(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> DataFrame:
-    """Write this batch's partitions and return exactly them.
+def build_bronze(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> tuple[DataFrame, int]:
+    """Write this batch's partitions; return exactly them and their number of rows.
 
-    Partitions of earlier batches survive in the table; the months seen in this
-    batch are observed during the write, so reading back needs no extra pass.
+    Partitions of earlier batches survive in the table; the months and rows of
+    this batch are observed during the write, so reading back needs no extra pass.
     """
     batch = bronze_layer.read_bronze_sources(spark, cfg)
     seen = Observation("bronze_months")
     month = F.struct("partition_year", "partition_month")
     sinks.write_partitioned(
-        batch.observe(seen, F.collect_set(month).alias("months")), layout.path("bronze"),
+        batch.observe(seen, F.collect_set(month).alias("months"), F.count(F.lit(1)).alias("rows")), layout.path("bronze"),
         gather=not cfg.time_ordered)
     stored = spark.read.schema(batch.schema).parquet(layout.path("bronze"))
-    return stored.where(_in_months([(m[0], m[1]) for m in seen.get["months"]]))
+    return stored.where(_in_months([(m[0], m[1]) for m in seen.get["months"]])), seen.get["rows"]
 
 
 def _in_months(months: list[tuple[int, int]]):
@@ -137,13 +160,30 @@ def _in_months(months: list[tuple[int, int]]):
 
 def store_silver(
     bronze: DataFrame, codes: DataFrame, cfg: FeedConfig, layout: Layout,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, int]:
+    """Silver, rejects and silver's number of rows.
+
+    Bronze is read and typed once; dedupe then reads its key columns from the
+    typed rows, and the rows themselves are shuffled once, into their months.
+    """
     spark = bronze.sparkSession
-    silver, rejects = build_silver(bronze, codes, cfg)
-    sinks.write_silver(silver, layout.path("silver", "delays"))
-    sinks.write_table(rejects, layout.path("silver", "rejects"))
+    typed_path = layout.path("work", "typed")
+    typed = annotate(bronze, code_dimension(codes), cfg)
+    sinks.write_partitioned(typed, typed_path, ("is_reject",), gather=False, replace=True)
+    typed = spark.read.schema(typed.schema).parquet(typed_path)
+    rejected = rejects(typed)
+    sinks.write_table(rejected, layout.path("silver", "rejects"))
+    rows = Observation("silver_rows")
+    sinks.write_silver(
+        silver_rows(typed, cfg).observe(rows, F.count(F.lit(1)).alias("rows")), layout.path("silver", "delays"))
+    sinks.remove(spark, typed_path)
+    return *stored_silver(spark, layout, rejected.schema), rows.get["rows"]
+
+
+def stored_silver(spark: SparkSession, layout: Layout, rejects_schema=None) -> tuple[DataFrame, DataFrame]:
+    reader = spark.read.schema(rejects_schema) if rejects_schema is not None else spark.read
     return (sinks.read_silver(spark, layout.path("silver", "delays")),
-            spark.read.schema(rejects.schema).parquet(layout.path("silver", "rejects")))
+            reader.parquet(layout.path("silver", "rejects")))
 
 
 def _write_all(write: Callable[[DataFrame, str], None], frames: dict[str, DataFrame]) -> None:
@@ -164,6 +204,10 @@ def store_cubes(silver: DataFrame, layout: Layout) -> Cubes:
     return Cubes(**{name: _stored(cube, paths[name]) for name, cube in cubes.items()})
 
 
+def stored_cubes(spark: SparkSession, layout: Layout) -> Cubes:
+    return Cubes(**{f.name: spark.read.parquet(layout.path("cubes", f.name)) for f in fields(Cubes)})
+
+
 def materialise_gold(cubes: Cubes, layout: Layout) -> None:
     _write_all(sinks.write_table, {
         layout.path("gold", name): model(cubes) for name, model in GOLD_MODELS.items()})
@@ -184,12 +228,12 @@ def publish(cubes: Cubes, cfg: FeedConfig, layout: Layout) -> None:
 
 def reconcile(cubes: Cubes) -> DataFrame:
     """One row: do all breakdowns add up to the headline?"""
-    daily = gold.days_by_line(cubes.by_time).select(F.lit(None).cast("bigint").alias(INCIDENTS), TOTAL)
+    daily = gold.line_days(cubes.by_time).select(F.lit(None).cast("bigint").alias(INCIDENTS), TOTAL)
     views = [
-        gold.headline(cubes.by_station), gold.totals_by_line(cubes.by_station, "year"),
-        gold.totals_by_line(cubes.by_station, "quarter"), gold.hours_by_line(cubes.by_time, "year"),
-        gold.hours_by_line(cubes.by_time, "quarter"), gold.months_by_line(cubes.by_time),
-        gold.daily_summary(cubes.by_station), gold.code_totals(cubes.by_code, "year"), daily,
+        gold.headline(cubes.by_station), gold.line_totals(cubes.by_station, "year"),
+        gold.line_totals(cubes.by_station, "quarter"), gold.line_hours(cubes.by_time, "year"),
+        gold.line_hours(cubes.by_time, "quarter"), gold.line_months(cubes.by_time),
+        gold.day_summary(cubes.by_station), gold.code_totals(cubes.by_code, "year"), daily,
     ]
     sums = [v.agg(F.sum(INCIDENTS).alias(INCIDENTS), F.sum(TOTAL).alias(TOTAL)) for v in views]
     together = reduce(lambda a, b: a.unionByName(b), sums)
@@ -220,6 +264,7 @@ def run_report(
     }
 
 
+STATE_SCHEMA = "config string, bronze bigint, silver bigint"
 REPORT_SCHEMA = (
     "run_started_utc string, run_finished_utc string, "
     "manifest_files array<struct<logical_name: string, files: bigint, bytes: bigint, changed: bigint>>, "
@@ -239,33 +284,64 @@ def run(
 ) -> RunResult:
     """Rebuild every layer from the raw feeds; running it again changes nothing.
 
-    With ``gate`` a failed check stops the run after the report, before export.
+    Where no file has changed since a finished run of the same configuration,
+    its layers are kept and only checks and report are made anew. With ``gate`` a
+    failed check stops the run after the report, before export.
     """
     layout = Layout(root)
     started = dt.datetime.now(dt.timezone.utc)
-    manifest = update_manifest(spark, cfg, layout, started.isoformat())
-    raw_bytes = manifest.agg(F.sum("bytes")).first()[0] or 0
+    manifest, changed = update_manifest(spark, cfg, layout, started.isoformat())
+    raw_bytes = (manifest.agg(F.sum("bytes")).first()[0] or 0) + table_bytes(spark, cfg)
     with sized_shuffles(spark, raw_bytes):
-        return _rebuild(spark, cfg, layout, started, manifest, run_date, gate)
+        kept = None if changed else finished_run(spark, cfg, layout)
+        return _rebuild(spark, cfg, layout, started, manifest, run_date, gate, kept)
+
+
+def fingerprint(cfg: FeedConfig) -> str:
+    return hashlib.sha256(repr(cfg).encode()).hexdigest()
+
+
+def finished_run(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> dict | None:
+    """Row counts of the last finished run, if its configuration was this one.
+
+    A catalog table has no files in the manifest, so its feeds always run.
+    """
+    if any(s.format == "table" for s in (*cfg.sources, *([cfg.codes] if cfg.codes else []))):
+        return None
+    path = layout.path("reports", "finished")
+    state = spark.read.schema(STATE_SCHEMA).option("mode", "PERMISSIVE").json(path) if sinks.exists(spark, path) else None
+    row = state.first() if state is not None else None
+    return row.asDict() if row and row["config"] == fingerprint(cfg) else None
 
 
 def _rebuild(
     spark: SparkSession, cfg: FeedConfig, layout: Layout, started: dt.datetime,
-    manifest: DataFrame, run_date: dt.date | None, gate: bool,
+    manifest: DataFrame, run_date: dt.date | None, gate: bool, kept: dict | None,
 ) -> RunResult:
-    bronze = build_bronze(spark, cfg, layout)
     codes = read_source(spark, cfg.codes)
-    silver, rejects = store_silver(bronze, codes, cfg, layout)
-    sinks.publish_view(silver)
-    cubes = store_cubes(silver, layout)
-    materialise_gold(cubes, layout)
+    if kept:
+        bronze = spark.read.parquet(layout.path("bronze"))
+        silver, rejected = stored_silver(spark, layout)
+        n_bronze, n_silver = kept["bronze"], kept["silver"]
+        cubes = stored_cubes(spark, layout)
+    else:
+        sinks.remove(spark, layout.path("reports", "finished"))
+        bronze, n_bronze = build_bronze(spark, cfg, layout)
+        silver, rejected, n_silver = store_silver(bronze, codes, cfg, layout)
+        cubes = store_cubes(silver, layout)
+        materialise_gold(cubes, layout)
+    sinks.publish_view(silver, cfg.view_name)
 
     checks = quality.run_preset(
-        bronze, silver, reference_codes(codes), run_date or started.date(), cfg.thresholds)
-    counts = quality.layer_counts(bronze, silver).first().asDict()
+        bronze, silver, reference_codes(codes), run_date or started.date(), cfg.thresholds,
+        cube_counts(cubes))
+    counts = {"bronze": n_bronze, "silver": n_silver, "silver_rejects_or_duplicates_removed": n_bronze - n_silver}
     report = run_report(spark, started, manifest, counts, checks)
     sinks.write_json(report_frame(spark, report), layout.path("reports", "latest_run"))
     if gate:
         quality.assert_passed(checks)
-    publish(cubes, cfg, layout)
-    return RunResult(silver, rejects, cubes, checks, report)
+    if not kept:
+        publish(cubes, cfg, layout)
+        state = spark.createDataFrame([(fingerprint(cfg), n_bronze, n_silver)], STATE_SCHEMA)
+        sinks.write_json(state, layout.path("reports", "finished"))
+    return RunResult(silver, rejected, cubes, checks, report)

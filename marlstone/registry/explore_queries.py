@@ -68,14 +68,14 @@ def available_periods(spark, sf_dir):
 @query("a15_roll_up", over("shipments", f"""
     SELECT line_canonical, {SUMS} FROM shipments GROUP BY line_canonical"""))
 def roll_up(spark, sf_dir):
-    totals = gold.totals_by_line(shipments(spark, sf_dir), "quarter")
+    totals = gold.line_totals(shipments(spark, sf_dir), "quarter")
     return explore.roll_up(totals, "line_canonical")
 
 
 @query("a15_roll_up_hours", over("clicks", f"""
     SELECT event_hour, {SUMS} FROM clicks GROUP BY event_hour"""))
 def roll_up_hours(spark, sf_dir):
-    hours = gold.hours_by_line(lined_clicks(spark, sf_dir), "year")
+    hours = gold.line_hours(lined_clicks(spark, sf_dir), "year")
     return explore.roll_up(hours, "event_hour")
 
 
@@ -83,7 +83,7 @@ def roll_up_hours(spark, sf_dir):
     SELECT {SUMS} FROM shipments WHERE event_year = 1998 AND event_quarter = 3
       AND line_canonical = 'AF'"""))
 def filtered_headline(spark, sf_dir):
-    totals = gold.totals_by_line(shipments(spark, sf_dir), "quarter")
+    totals = gold.line_totals(shipments(spark, sf_dir), "quarter")
     return explore.headline_totals(totals, "1998-Q3", "AF")
 
 

@@ -40,7 +40,7 @@ def code_lookup_shuffled(spark, sf_dir):
 def membership(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id")
-    hits = quality.coverage(documents, "doc_id", labels)
+    hits = quality.coverage(quality.value_counts(documents, "doc_id"), labels)
     return hits.withColumn("rows", F.lit(documents.count()).cast("bigint"))
 
 
@@ -48,7 +48,20 @@ def membership(spark, sf_dir):
     SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(CASE WHEN n <= 8 THEN n ELSE 0 END) AS BIGINT) AS tail_rows
     FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)""")
 def frequency_members(spark, sf_dir):
-    return quality.long_tail(table(spark, sf_dir, "orders"), "o_custkey", 8)
+    return quality.long_tail(quality.value_counts(table(spark, sf_dir, "orders"), "o_custkey"), 8)
+
+
+@query("j4_frequency_members_nan", """
+    SELECT CAST(sum(n) AS BIGINT) AS rows,
+           CAST(sum(CASE WHEN v IS NOT NULL AND n <= 40 THEN n ELSE 0 END) AS BIGINT) AS tail_rows
+    FROM (SELECT v, count(*) AS n
+          FROM (SELECT CASE WHEN p_size % 5 <> 0 THEN p_size + 0.5 END AS v FROM part) GROUP BY v)""")
+def frequency_members_nan(spark, sf_dir):
+    """NaN is a missing number: it stays in the denominator and is never a rare value."""
+    size = F.col("p_size") + 0.5
+    sizes = table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") % 5 == 0, F.lit(float("nan"))).otherwise(size.cast("double")).alias("v"))
+    return quality.long_tail(quality.value_counts(sizes, "v"), 40)
 
 
 def _ranked_stations(spark, sf_dir):

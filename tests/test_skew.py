@@ -48,7 +48,7 @@ def test_keep_first_of_a_hot_key(spark, hot):
 
 def test_a_hot_key_reaches_the_shuffle_once_per_task(spark, hot):
     """The group limit leaves at most one row per key and task to send."""
-    kept = silver.keep_first(hot, ["station"], ["source_row_id"])
+    kept = silver.keep_first(hot, ["station"], ["source_row_id"], broadcast_keys=0)
     kept.collect()
     text = kept._sc._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "simple")
     assert "WindowGroupLimit" in text.split("Exchange")[-1]
@@ -89,10 +89,10 @@ def test_hot_copies_are_counted_in_full(spark, hot, limit):
 
 def test_long_tail_and_coverage_with_a_hot_value(spark, hot):
     counts = Counter(r[3] for r in python_rows())
-    row = quality.long_tail(hot, "code_clean", 44).first()
+    row = quality.long_tail(quality.value_counts(hot, "code_clean"), 44).first()
     assert tuple(row) == (N, sum(n for n in counts.values() if n <= 44))
     reference = spark.createDataFrame([("hot",), ("c5",)], "v string")
-    assert quality.coverage(hot, "code_clean", reference).first()["hits"] == counts["HOT"] + counts["C5"]
+    assert quality.coverage(quality.value_counts(hot, "code_clean"), reference).first()["hits"] == counts["HOT"] + counts["C5"]
 
 
 def test_rankings_with_a_hot_station(spark, hot):
