@@ -74,9 +74,8 @@ def mix(
         F.col("mix_source").alias("__source"), F.col("draws").alias("__draws"), F.col("cdf").alias("__cdf"))
     own_id, seed_col = docs[id_col], F.lit(seed)
     drawn = docs.join(table, docs[source_col].eqNullSafe(F.col("__source")))
-    count = F.aggregate(
-        F.sequence(F.lit(1), F.col("__draws")), F.lit(0),
-        lambda acc, j: acc + F.size(F.filter("__cdf", lambda c: c <= uniform(seed_col, own_id, j))))
+    numbers = F.transform(F.sequence(F.lit(1), F.col("__draws")), lambda j: uniform(seed_col, own_id, j))
+    count = F.aggregate(numbers, F.lit(0), lambda acc, u: acc + F.size(F.filter("__cdf", lambda c: c <= u)))
     copies = drawn.withColumn("__copies", count).where("__copies > 0").withColumn(
         "mix_copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     keyed = copies.withColumn("mix_key", F.md5(F.concat_ws(
