@@ -33,59 +33,63 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, low).astype(np.uint8)
 
 
-def _selectors(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Per position, the selector that packs most of the values from there on."""
-    n = values.size
-    width = _widths(values)
-    best = np.full(n, ESCAPE, np.int8)
-    at = np.arange(n)
-    left = ends - at
-    wide = np.zeros(n + 1, np.int32)
+def _selectors(width: np.ndarray) -> np.ndarray:
+    """Per position, the selector that packs most of the values from there on.
+
+    The widest value of every window is built up from that of the next shorter
+    window, for all positions at once.
+    """
+    best = np.full(width.size, ESCAPE, np.int8)
+    widest, size = width.copy(), 1
     for selector in range(len(COUNTS) - 1, 0, -1):  # the one with most values is set last
-        narrow = width <= BITS[selector]
-        if not narrow.any():
-            break
-        np.cumsum(~narrow, out=wide[1:])
         count = int(COUNTS[selector])
-        fits = np.zeros(n, bool)
-        if n > count:
-            fits[:n - count + 1] = wide[count:] == wide[:n - count + 1]
-        tail = np.flatnonzero(left < count)
-        fits[tail] = wide[ends[tail]] == wide[tail]
-        best[fits] = selector
+        while size < count:
+            step = min(size, count - size)
+            widest[:-step] = np.maximum(widest[:-step], widest[step:])
+            size += step
+        np.copyto(best, np.int8(selector), where=widest <= BITS[selector])
     return best
 
 
 def pack(values: np.ndarray, block: int = BLOCK) -> Packed:
     values = np.ascontiguousarray(values, np.uint64)
     n = values.size
-    starts = np.arange(0, n, block)
-    ends = np.minimum(starts + block, n)
-    best = _selectors(values, np.repeat(ends, ends - starts))
+    n_blocks = -(-n // block)
+    if not n:
+        return Packed(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64))
+    # each block with zeros after it, so that no window reaches into the next
+    row = block + int(COUNTS.max())
+    padded = np.zeros((n_blocks, row), np.uint64)
+    whole = n // block
+    padded[:whole, :block] = values[:whole * block].reshape(whole, block)
+    padded[whole:, :n - whole * block] = values[whole * block:]
+    padded = padded.ravel()
+    best = _selectors(_widths(padded))
     # every block steps to its next word at once
-    position, live, steps = starts.copy(), np.arange(starts.size), []
+    step = COUNTS[best]
+    position = np.arange(n_blocks) * row
+    ends = position + np.minimum(block, n - np.arange(n_blocks) * block)
+    live, steps = np.arange(n_blocks), []
     while live.size:
         at = position[live]
-        steps.append(np.stack([live, at]))
-        position[live] = at + COUNTS[best[at]]
-        live = live[position[live] < ends[live]]
-    if not steps:
-        return Packed(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64))
-    owner, at = np.concatenate(steps, axis=1)
-    order = np.argsort(at)
-    owner, at = owner[order], at[order]
+        steps.append(at)
+        at = at + step[at]
+        position[live] = at
+        live = live[at < ends[live]]
+    at = np.sort(np.concatenate(steps))
     selector = best[at]
     words = selector.astype(np.uint64) << np.uint64(60)
     for s in range(1, len(COUNTS)):
         own = np.flatnonzero(selector == s)
         if own.size:
-            place = at[own][:, None] + np.arange(COUNTS[s])
-            inside = place < ends[owner[own]][:, None]  # the last word of a block may be part empty
-            parts = np.where(inside, values[np.minimum(place, n - 1)], np.uint64(0))
-            words[own] |= np.bitwise_or.reduce(parts << (np.arange(COUNTS[s]) * BITS[s]).astype(np.uint64), axis=1)
+            total = padded[at[own]]
+            for j in range(1, COUNTS[s]):
+                total |= padded[at[own] + j] << np.uint64(j * BITS[s])
+            words[own] |= total
     escaped = np.flatnonzero(selector == ESCAPE)
     words[escaped] |= np.arange(escaped.size, dtype=np.uint64)
-    return Packed(words, np.searchsorted(owner, np.arange(starts.size)).astype(np.uint32), values[at[escaped]])
+    offsets = np.searchsorted(at, np.arange(n_blocks) * row).astype(np.uint32)
+    return Packed(words, offsets, padded[at[escaped]])
 
 
 def unpack(packed: Packed, n: int, block: int = BLOCK) -> np.ndarray:

@@ -21,7 +21,7 @@ from marlstone.llm import simple8b
 from marlstone.llm.arrays import bound_batches, byte_slices
 from marlstone.llm.tokens import Encoder
 
-SEGMENT_BYTES = 1 << 20  # text of a segment; a longer text is one segment
+SEGMENT_BYTES = 4 << 20  # text of a segment; a longer text is one segment
 
 SEGMENT_SCHEMA = (
     "shard int, segment int, shard_start bigint, n_ids bigint, doc_ids array<bigint>, "

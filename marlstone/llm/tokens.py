@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,22 @@ _SPACE_LEADS = np.zeros(256, bool)
 _SPACE_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_LETTER_LEAD = np.zeros(256, bool)  # of U+00C0 to U+00FF, all letters but U+00D7 and U+00F7
+_LETTER_LEAD[0xC3] = True
+_LETTER_TAIL = np.zeros(256, bool)
+_LETTER_TAIL[0x80:0xC0] = True
+_LETTER_TAIL[[0x97, 0xB7]] = False
 _CLOSING = np.zeros(256, bool)
 _CLOSING[list(b".,;:!?")] = True
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 def safe_cuts(data: np.ndarray) -> np.ndarray:
     """True at every byte before which the pre-tokenizer always splits.
 
@@ -89,6 +102,7 @@ class Encoder:
                         for t in layout.get("added_tokens", [])))
             self._marks = np.zeros(256, bool)
             self._marks[[t["content"].encode()[0] for t in layout.get("added_tokens", [])]] = True
+            self._model, self._letters = tokenizer.model, _byte_letters()
             line_break = self._encode(["\n"])[0]
             self._line_break = int(line_break[0]) if line_break.size == 1 else None
         self._reset()
@@ -125,8 +139,25 @@ class Encoder:
         odd[first[(data[first] == 0x20) & (np.diff(offsets) > 1)]] = False
         return np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) == 0
 
-    def _learn(self, plain: list[bytes], apart: list[bytes]) -> None:
-        """Many plain pieces are encoded in one string, a line break between them."""
+    @staticmethod
+    def _single(distinct: pa.Array) -> np.ndarray:
+        """True for pieces of letters after at most one space: the pattern does not split them."""
+        data = np.frombuffer(distinct.buffers()[2], np.uint8)
+        offsets = np.frombuffer(distinct.buffers()[1], np.int64)
+        odd = ~(_ASCII_LETTER | _LETTER_LEAD)[data]
+        odd[1:] &= ~(_LETTER_LEAD[data[:-1]] & _LETTER_TAIL[data[1:]])
+        first = offsets[:-1]
+        odd[first[(data[first] == 0x20) & (np.diff(offsets) > 1)]] = False
+        return np.diff(np.concatenate([[0], np.cumsum(odd)])[offsets]) == 0
+
+    def _learn(self, single: list[bytes], plain: list[bytes], apart: list[bytes]) -> None:
+        """Single words go straight to the library's merges, other plain pieces in long
+        strings with a line break between them, the rest one by one."""
+        if single:
+            found = [
+                [t.id for t in self._model.tokenize(p.decode("latin-1").translate(self._letters))] for p in single]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self._remember(single, np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())), sizes)
         groups = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
         for group, ids in zip(
                 groups, self._encode([b"\n".join(g).decode() for g in groups]) if groups else [], strict=True):
@@ -155,11 +186,11 @@ class Encoder:
             distinct = coded.dictionary.to_pylist()
             if len(self._known) + len(distinct) > CACHED_PIECES:
                 self._reset()
-            plain = self._joinable(coded.dictionary).tolist() if self._line_break is not None else []
-            new = [i for i, p in enumerate(distinct) if p not in self._known]
-            self._learn([distinct[i] for i in new if plain and plain[i]],
-                        [distinct[i] for i in new if not (plain and plain[i])])
-            numbers = np.fromiter((self._known[p] for p in distinct), np.int64, len(distinct))
+            new = ~np.fromiter(map(self._known.__contains__, distinct), bool, len(distinct))
+            single = self._single(coded.dictionary)
+            plain = self._joinable(coded.dictionary) & (self._line_break is not None) & ~single
+            self._learn(*(list(compress(distinct, new & kind)) for kind in (single, plain, ~single & ~plain)))
+            numbers = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
             yield own[:-1], numbers[coded.indices.to_numpy(zero_copy_only=False)]
             at = stop
 
