@@ -1,12 +1,12 @@
 """Near-duplicates by HyperMinHash registers, banding, estimate and exact verification.
 
 A document's shingles fall into 512 buckets by hash. A bucket's register keeps
-the leading zeros of its smallest hash and the ten bits after them, 16 bits in
+the leading zeros of its smallest hash and the three bits after them, 8 bits in
 all; an empty bucket takes the register of the first filled one in an order
-fixed for it. Documents that agree on a band of six registers are candidates.
-An agreement over all registers, less the share expected of chance collisions,
-estimates their similarity; those that may reach the threshold are compared on
-their full shingle sets.
+fixed for it. Documents that agree on a band of six of the first 384 registers
+are candidates. The agreement of the other 128, less the share expected of
+chance collisions, estimates their similarity; those that may reach the
+threshold are compared on their full shingle sets.
 
 Documents of equal sets are one class from the start. Within a bucket of a band
 all members are first compared with its smallest id, which is linear. Only
@@ -20,12 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.arrays import (
     NOT_SPACE, bound_batches, byte_slices, hash_each, lowered, mixed, split_words, text_buffer,
 )
+from marlstone.llm.bloom import bloom_filter, may_contain
 from marlstone.llm.components import components
 from marlstone.llm.storage import stored
 
@@ -34,15 +36,17 @@ THRESHOLD = (80, 100)  # shared * 100 >= united * 80
 
 BUCKET_BITS = 9
 BUCKETS = 1 << BUCKET_BITS
-MANTISSA_BITS = 10
+MANTISSA_BITS = 3
 # At similarity 0.8 a band agrees with probability 0.8 ** 6, so all 64 fail for
 # one pair in 10 ** 8.
 BANDS, BAND_ROWS = 64, 6
+BANDED = BANDS * BAND_ROWS
+PROBES = BUCKETS - BANDED  # registers that bands do not use, for the estimate
 # Standard deviations that an estimate may lie below the threshold.
 SLACK = 6.0
 BLOCK = 256  # documents that one task holds while others stream past them
 
-FEATURES_SCHEMA = "id bigint, n bigint, k1 bigint, k2 bigint, registers binary"
+FEATURES_SCHEMA = "id bigint, n bigint, k1 bigint, k2 bigint, registers binary, probes binary"
 
 
 def shingles(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +83,7 @@ def _probe_order() -> np.ndarray:
 
 
 def registers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One row of 512 16-bit registers per text; rows of texts without shingles are 0."""
+    """One row of 512 8-bit registers per text; rows of texts without shingles are 0."""
     n_texts = len(starts) - 1
     text = np.repeat(np.arange(n_texts), np.diff(starts))
     bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
@@ -89,12 +93,12 @@ def registers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     rest_bits = 64 - BUCKET_BITS
     rest = hashes[first] & np.uint64((1 << rest_bits) - 1)
     low = np.frexp((rest >> np.uint64(rest_bits - 53)).astype(np.float64))[1]
-    zeros = 53 - low  # leading zeros, exact as 53 bits fit a double
+    zeros = np.minimum(53 - low, 31)  # leading zeros, exact as 53 bits fit a double
     shift = np.maximum(rest_bits - 1 - zeros - MANTISSA_BITS, 0).astype(np.uint64)
     mantissa = (rest >> shift) & np.uint64((1 << MANTISSA_BITS) - 1)
-    out = np.zeros((n_texts, BUCKETS), np.uint16)
+    out = np.zeros((n_texts, BUCKETS), np.uint8)
     filled = np.zeros((n_texts, BUCKETS), bool)
-    out[text[first], bucket[first]] = (zeros.astype(np.uint16) << np.uint16(MANTISSA_BITS)) | mantissa.astype(np.uint16)
+    out[text[first], bucket[first]] = (zeros.astype(np.uint8) << np.uint8(MANTISSA_BITS)) | mantissa.astype(np.uint8)
     filled[text[first], bucket[first]] = True
     ranks = _probe_order()
     for i in np.flatnonzero(filled.any(axis=1) & ~filled.all(axis=1)):
@@ -106,7 +110,7 @@ def registers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def band_keys(rows: np.ndarray) -> np.ndarray:
     """One 64-bit key per row and band."""
-    parts = rows[:, :BANDS * BAND_ROWS].reshape(len(rows), BANDS, BAND_ROWS).astype(np.uint64)
+    parts = rows.reshape(len(rows), BANDS, BAND_ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2])
     for j in range(BAND_ROWS):
         key = mixed(key + (parts[:, :, j] << np.uint64(8)) + np.uint64(j))
@@ -147,27 +151,30 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                 with np.errstate(over="ignore"):
                     k1 = np.where(some, np.add.reduceat(padded, own), np.uint64(0))
                     k2 = np.where(some, np.add.reduceat(mixed(padded ^ np.uint64(0x5BF03635)), own), np.uint64(0))
+                own = registers(hashes, starts)
                 yield pa.record_batch({
                     "id": part.column("id"), "n": pa.array(np.diff(starts)),
                     "k1": pa.array(k1.view(np.int64)), "k2": pa.array(k2.view(np.int64)),
-                    "registers": pa.array([r.tobytes() for r in registers(hashes, starts)], pa.binary())})
+                    "registers": pa.array([r.tobytes() for r in own[:, :BANDED]], pa.binary()),
+                    "probes": pa.array([r.tobytes() for r in own[:, BANDED:]], pa.binary())})
 
     return rows.mapInArrow(compute, FEATURES_SCHEMA)
 
 
-def _register_rows(column: pa.Array) -> np.ndarray:
-    if not len(column):
-        return np.zeros((0, BUCKETS), np.uint16)
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), BUCKETS)
+def _register_rows(column: pa.Array, size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), size)
 
 
-def band_rows(classes: DataFrame) -> DataFrame:
-    """(key, id) per class and band."""
+def band_rows(classes: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
+    """(key, id) per class and band; with a filter of keys, only those that may be in it."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = band_keys(_register_rows(batch.column("registers")))
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            yield pa.record_batch({"key": pa.array(keys.ravel()), "id": pa.array(np.repeat(ids, BANDS))})
+            keys = band_keys(_register_rows(batch.column("registers"), BANDED)).ravel()
+            ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), BANDS)
+            if wanted is not None:
+                keep = may_contain(wanted.value, keys)
+                keys, ids = keys[keep], ids[keep]
+            yield pa.record_batch({"key": pa.array(keys), "id": pa.array(ids)})
 
     return classes.select("id", "registers").mapInArrow(explode, "key bigint, id bigint")
 
@@ -175,7 +182,7 @@ def band_rows(classes: DataFrame) -> DataFrame:
 def likely(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Candidate pairs (a, b) whose sizes and estimated similarity allow a link."""
     least = threshold[0] / threshold[1]
-    side = classes.select("id", "n", "registers")
+    side = classes.select("id", "n", "probes")
     both = (
         pairs.join(side.toDF("a", "n_a", "r_a"), "a").join(side.toDF("b", "n_b", "r_b"), "b")
         .where(F.least("n_a", "n_b") * threshold[1] >= F.greatest("n_a", "n_b") * threshold[0]))
@@ -183,27 +190,34 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]) ->
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("n_a", "n_b"))
-            near = estimate(_register_rows(batch.column("r_a")), _register_rows(batch.column("r_b")), n, m)
-            spread = np.sqrt(least * (1 - least) / np.minimum(np.minimum(n, m), BUCKETS))
+            left, right = (_register_rows(batch.column(c), PROBES) for c in ("r_a", "r_b"))
+            near = estimate(left, right, n, m)
+            spread = np.sqrt(least * (1 - least) / np.minimum(np.minimum(n, m), PROBES))
             yield batch.select(["a", "b"]).filter(pa.array(near >= least - SLACK * spread))
 
     return both.mapInArrow(keep, "a bigint, b bigint")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, set) of the documents named in ``ids``: sorted 64-bit shingle hashes."""
+    """(id, set) of the documents named in ``ids``, and a few more: sorted 64-bit shingle hashes.
+
+    The names are a broadcast filter, so that no text is shuffled.
+    """
+    named = bloom_filter(ids, "id")
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"),
-    ).join(ids, "id", "left_semi")
+    ).where("id is not null")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            keep = may_contain(named.value, batch.column("id").to_numpy(zero_copy_only=False))
+            for part in byte_slices(batch.filter(pa.array(keep)), "text"):
                 hashes, starts = shingles(part.column("text"), words)
                 yield pa.record_batch({"id": part.column("id"), "set": pa.ListArray.from_arrays(
                     pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))})
 
-    return rows.mapInArrow(compute, "id bigint, set array<bigint>")
+    # rows that repeat an id are one document
+    return rows.mapInArrow(compute, "id bigint, set array<bigint>").dropDuplicates(["id"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -325,7 +339,8 @@ def near_duplicates(
     groups = bands.groupBy("key").agg(
         F.min("id").alias("lead"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = stored(groups, "near-groups")
-    members = stored(bands.join(groups.where("n > 2").select("key", "lead"), "key"), "near-members")
+    crowded = groups.where("n > 2").select("key", "lead")
+    members = stored(band_rows(classes, bloom_filter(crowded, "key")).join(crowded, "key"), "near-members")
     stars = groups.where("n = 2").select(F.col("lead").alias("a"), F.col("last").alias("b")).unionByName(
         members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))).distinct()
     hopeful = stored(likely(stars, classes, threshold), "near-likely")
