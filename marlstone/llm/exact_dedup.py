@@ -17,6 +17,9 @@ BITS_PER_ROW = 8
 # Beyond 16 million rows they fill up, so more rows are suspect and shuffle
 # (as an id and a digest): slower, never wrong.
 MAX_FILTER_BITS = 1 << 27
+# A digest of more rows than this, or than this share of all, is hot: there are at
+# most 10,000 of them, so they are broadcast and their rows never shuffle.
+HOT_ROWS, HOT_SHARE = 1000, 10_000
 _SEGMENT_BITS = 32768  # bits of one bitmap of bitmap_construct_agg
 
 
@@ -81,20 +84,26 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Other columns of ``docs`` are not looked at, whatever their names.
     """
     prints = stored(fingerprints(docs, id_col, text_col), "exact-prints")
-    wanted = max(BITS_PER_ROW * prints.count(), _SEGMENT_BITS)
-    bits = min(1 << (wanted - 1).bit_length(), MAX_FILTER_BITS)
-    flagged = with_suspicion(prints, repeated_bits(prints, bits), bits)
-    suspects = flagged.where("suspect")
-    groups = suspects.groupBy("digest").agg(
-        F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    repeated = groups.where("group_size > 1")
-    alone = flagged.where("not suspect").select(
-        "id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
-    checked = suspects.join(repeated, "digest", "left").select(
-        "id", "digest",
-        F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"))
-    return alone.unionByName(checked).select(
+    n = prints.count()
+    bits = min(1 << (max(BITS_PER_ROW * n, _SEGMENT_BITS) - 1).bit_length(), MAX_FILTER_BITS)
+    flagged = stored(with_suspicion(prints, repeated_bits(prints, bits), bits), "exact-flagged")
+    suspects = flagged.where("suspect").select("id", "digest")
+    groups = stored(suspects.groupBy("digest").agg(
+        F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "exact-groups")
+    is_hot = F.col("group_size") > max(HOT_ROWS, n // HOT_SHARE)
+    hot = F.broadcast(groups.where(is_hot))
+
+    def alone(rows: DataFrame) -> DataFrame:
+        return rows.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), "digest")
+
+    columns = ["id", "keep_id", "group_size", "digest"]
+    cold = suspects.join(hot, "digest", "left_anti").join(
+        groups.where(~is_hot).withColumnsRenamed({"keep_id": "k", "group_size": "g"}), "digest", "left").select(
+        "id", F.when(F.col("g").isNull(), F.col("id")).otherwise(F.col("k")).alias("keep_id"),
+        F.coalesce("g", F.lit(1).cast("bigint")).alias("group_size"), "digest")
+    every = alone(flagged.where("not suspect")).unionByName(
+        suspects.join(hot, "digest").select(*columns)).unionByName(cold)
+    return every.select(
         "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
