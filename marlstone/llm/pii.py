@@ -110,10 +110,12 @@ def disclosing_terms(
     before the shuffle; only documents with an entity spell their terms out.
     """
     # documents with an entity: which terms meet which entities
-    owners = base.where(F.size("base") > 0)
-    kinds = owners.select("k1", F.explode("base").alias("s"), "text").select(
-        F.col("s.kind").alias("kind"), F.xxhash64("s.value").alias("entity"), _terms(F.col("text")).alias("terms"))
-    pairs = kinds.select("kind", "entity", F.explode("terms").alias("term")).distinct()
+    entities = F.array_distinct(F.transform("base", lambda s: F.struct(
+        s["kind"].alias("kind"), F.xxhash64(s["value"]).alias("entity"))))
+    # both arrays are made once per text, before either is exploded
+    owners = base.where(F.size("base") > 0).select(entities.alias("entities"), _terms(F.col("text")).alias("terms"))
+    pairs = owners.select("entities", F.explode("terms").alias("term")).select(
+        "term", F.explode("entities").alias("e")).select("e.kind", "e.entity", "term").distinct()
     candidates = pairs.groupBy("kind", "term").count().where(F.col("count") >= min_entities).select(
         "kind", "term", F.xxhash64("term").alias("h"))
     # all documents: how often each term occurs, and with which kinds
