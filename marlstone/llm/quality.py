@@ -19,10 +19,14 @@ from pyspark.sql import functions as F
 from marlstone.llm.arrays import NOT_SPACE, bound_batches, byte_slices, split_words, text_buffer
 
 FEATURE_BITS = 24
+HEADS = (4, 5, 6, 7)  # characters of a word's beginning, which its inflections share
 # Labelled rows that the model is fitted on: the first so many by hash of their id.
 SAMPLE_ROWS = 8000
 MIN_DOCS = 4  # of the sample, that a feature must occur in
-ROUNDS, RATE, L2 = 250, 0.1, 1e-4
+# Association with the grade that a feature must show, as chi-square and as chi-square
+# per document: words of single documents would only be learned by heart.
+LEAST_CHI2, LEAST_CHI2_SHARE = 15.0, 0.0075
+ROUNDS, RATE, L2 = 1000, 0.1, 1e-5
 
 SCORE_SCHEMA = "id bigint, expected_grade double, top_probability double"
 
@@ -47,23 +51,32 @@ def _shape(token: bytes) -> bytes:
     return bytes(b for i, b in enumerate(shape) if i == 0 or b != shape[i - 1])
 
 
-def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, feature, value): words present, share of each token shape, repetition.
+def text_features(texts: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, value): words and word beginnings present, share of each token shape, repetition.
 
-    Texts without a token have no feature.
+    With ``known``, of words only those features. Texts without a token have none.
     """
     data, offsets = text_buffer(texts)
     words = split_words(data, offsets, NOT_SPACE)
     n_texts, counts = len(offsets) - 1, np.diff(words.before)
     doc = np.repeat(np.arange(n_texts), counts)
     distinct = words.distinct.to_pylist()
-    stems = np.fromiter((_hash(b"w", t.strip(_EDGES).lower()) for t in distinct), np.int64, len(distinct))
+    plain = [t.strip(_EDGES).decode().lower() for t in distinct]
+    stems = np.fromiter((_hash(b"w", w.encode()) for w in plain), np.int64, len(distinct))
+    heads = [np.fromiter((_hash(b"h", w[:n].encode()) for w in plain), np.int64, len(distinct)) for n in HEADS]
     shapes = np.fromiter((_hash(b"s", _shape(t)) for t in distinct), np.int64, len(distinct))
     if not doc.size:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0)
     base = np.int64(1 << FEATURE_BITS)
-    present = np.unique(doc * base + stems[words.codes])
+    parts = []
+    for kind in (stems, *heads):
+        if known is None:
+            parts.append(doc * base + kind[words.codes])
+        else:
+            here = np.isin(kind, known)[words.codes]
+            parts.append(doc[here] * base + kind[words.codes[here]])
+    present = np.unique(np.concatenate(parts))
     shaped, times = np.unique(doc * base + shapes[words.codes], return_counts=True)
     share = np.sqrt(times / counts[shaped // base])
     variety = np.bincount(np.unique(doc * np.int64(len(distinct)) + words.codes) // len(distinct), minlength=n_texts)
@@ -80,18 +93,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def associated(rows: np.ndarray, features: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """True where a feature's documents have other grades than the rest, by a chi-square test."""
+    if not len(grades):
+        return np.zeros(0, bool)
+    kinds, column = np.unique(features, return_inverse=True)
+    n_grades = int(grades.max()) + 1
+    seen = np.stack([np.bincount(column, grades[rows] == k, len(kinds)) for k in range(n_grades)], 1)
+    total = seen.sum(axis=1, keepdims=True)
+    expected = np.maximum(total * np.bincount(grades, minlength=n_grades) / len(grades), 1e-9)
+    chi2 = ((seen - expected) ** 2 / expected).sum(axis=1)
+    least = max(LEAST_CHI2, LEAST_CHI2_SHARE * len(grades))
+    return ((chi2 >= least) & (total[:, 0] >= MIN_DOCS))[column]
+
+
 def fit_model(rows: np.ndarray, features: np.ndarray, values: np.ndarray, grades: np.ndarray) -> Model:
     """Maximum likelihood with an L2 penalty, by Adam over all rows."""
     n_docs, n_grades = len(grades), int(grades.max(initial=0)) + 1
     if n_grades < 2 or len(np.unique(grades)) < 2:
         # nothing to tell apart: everything is of the one grade seen
         return Model(np.zeros(0, np.int64), np.zeros(0), np.full(1, -40.0))
-    kinds, column, seen = np.unique(features, return_inverse=True, return_counts=True)
-    known = seen >= MIN_DOCS
-    place = np.cumsum(known) - 1
-    keep = known[column]
-    rows, column, values = rows[keep], place[column[keep]], values[keep]
-    kinds = kinds[known]
+    kinds, column = np.unique(features, return_inverse=True)
     weights = np.zeros(kinds.size)
     # thresholds start at the shares of the grades; later ones are kept above by steps' logs
     above = np.array([max(1, (grades >= k).sum()) / n_docs for k in range(1, n_grades)])
@@ -125,7 +147,7 @@ def fit_model(rows: np.ndarray, features: np.ndarray, values: np.ndarray, grades
 
 def score_texts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Expected grade and probability of the top grade. A text without a token gets 0 and 0."""
-    rows, features, values = text_features(texts)
+    rows, features, values = text_features(texts, model.features)
     n = len(texts)
     if model.features.size:
         place = np.minimum(np.searchsorted(model.features, features), model.features.size - 1)
@@ -176,10 +198,11 @@ def train(
     got = got.sort_by("id")
     lists = got.column("features").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
-    return fit_model(
-        np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy().astype(np.int64),
-        got.column("vals").combine_chunks().flatten().to_numpy().astype(float),
-        got.column("grade").to_numpy().astype(np.int64))
+    rows, features = np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy().astype(np.int64)
+    values = got.column("vals").combine_chunks().flatten().to_numpy().astype(float)
+    grades = got.column("grade").to_numpy().astype(np.int64)
+    keep = associated(rows, features, grades)
+    return fit_model(rows[keep], features[keep], values[keep], grades)
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
