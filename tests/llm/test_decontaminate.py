@@ -1,0 +1,90 @@
+import hashlib
+import re
+
+from awkward import LOWER, awkward, empty, given
+
+from marlstone.llm import decontaminate
+from marlstone.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, window=10):
+    grams = {}
+    for item, text in items:
+        own = words(text)
+        size = min(window, len(own))
+        for i in range(len(own) - size + 1 if size else 0):
+            grams.setdefault(tuple(own[i:i + size]), set()).add(str(item))
+    out = {}
+    for doc, text in docs:
+        own, hit, found = words(text), set(), set()
+        for size in {len(g) for g in grams}:
+            for i in range(len(own) - size + 1):
+                for item in grams.get(tuple(own[i:i + size]), ()):
+                    found.add(item)
+                    hit.update(range(i, i + size))
+        out[doc] = (len(own), len(hit), sorted(found))
+    return out
+
+
+def reported(hits):
+    return {r["id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.report(hits).collect()}
+
+
+def test_query_matches_brute_force(spark, sf_dir):
+    expected = brute(given(sf_dir, "documents", "doc_id, text"), given(sf_dir, "benchmark", "item_id, text"))
+    rows = QUERIES["op7_decontamination"](spark, sf_dir).collect()
+    assert len(rows) == len(expected)
+    for r in rows:
+        n_words, n_hit, items = expected[r["doc_id"]]
+        digest = hashlib.sha256(",".join(items).encode()).hexdigest()
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == (
+            n_words, n_hit, len(items), digest, n_hit > 0)
+
+
+ITEMS = [
+    (1, "a b c d e f g h i j k l"), (2, "C D E F G H I J K L M"), (3, "short one"), (4, "short ONE"), (5, ""),
+    (6, None), (7, "éa"), (1, "x1 y2 z3 x1 y2 z3 x1 y2 z3 x1 y2 z3"), (None, "nameless words here"),
+]
+DOCS = [
+    (1, "A b, c d e f g h i j"), (2, "a b c d e f g h i"), (3, "short one short one, éa"), (4, None), (5, ""),
+    (6, "zz a-b-c-d-e-f-g-h-i-j-k-l-m zz"), (7, "x1 y2 z3 " * 9), (8, "one short"), (9, "nameless words here"),
+    (10, "a b c d e f g h"), (11, "i j k l"),
+]
+
+
+def small(spark):
+    return (spark.createDataFrame(DOCS, "doc_id long, text string"),
+            spark.createDataFrame(ITEMS, "item_id long, text string"))
+
+
+def test_short_items_ties_and_nulls(spark):
+    docs, items = small(spark)
+    expected = brute(DOCS, [(i if i is not None else "", t) for i, t in ITEMS])
+    expected = {d: (n, h, [x for x in found if x]) for d, (n, h, found) in expected.items()}
+    assert reported(decontaminate.find_hits(docs, items)) == expected
+    # a benchmark of several blocks says the same
+    assert reported(decontaminate.find_hits(docs, items, block_bytes=20)) == expected
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    docs, items = small(spark)
+    assert decontaminate.find_hits(awkward(spark), items).count() == awkward(spark).count()
+    assert decontaminate.find_hits(empty(spark), items).count() == 0
+    none = items.limit(0)
+    assert all(r["n_hit"] == 0 for r in decontaminate.report(decontaminate.find_hits(docs, none)).collect())
+
+
+def test_documents_and_spans_go(spark):
+    docs, items = small(spark)
+    left = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()}
+    assert left == {2, 4, 5, 8, 10, 11}
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(docs, items).collect()}
+    assert cut[2] == "a b c d e f g h i" and cut[4] is None
+    assert cut[6] == "zz \n zz" and not words(cut[1]) and not words(cut[3])
+    assert decontaminate.drop_contaminated(awkward(spark), items).columns == awkward(spark).columns

@@ -1,0 +1,69 @@
+import hashlib
+from collections import defaultdict
+
+from awkward import LOWER, awkward, awkward_rows, empty, given
+
+from marlstone.llm import exact_dedup
+from marlstone.llm.queries import QUERIES
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[(text or "").translate(LOWER)].append(i)
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = max(known) if known else None
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        out += [(i, keep, len(ids), i == keep, digest) for i in ids]
+    return sorted(out, key=str)
+
+
+def verdicts(df):
+    return sorted((tuple(r) for r in df.select("id", "keep_id", "group_size", "kept", "digest").collect()), key=str)
+
+
+def test_query_matches_brute_force(spark, sf_dir):
+    rows = QUERIES["op5_exact_dedup"](spark, sf_dir).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert sorted(map(tuple, rows), key=str) == brute(given(sf_dir, "documents", "doc_id, text"))
+
+
+def test_awkward_rows(spark):
+    assert verdicts(exact_dedup.duplicates(awkward(spark))) == brute([(r[0], r[1]) for r in awkward_rows()])
+
+
+def test_drop_keeps_all_columns_and_the_largest_id(spark):
+    left = exact_dedup.drop_duplicates(awkward(spark))
+    assert left.columns == awkward(spark).columns
+    ids = [r["doc_id"] for r in left.collect()]
+    assert 2 in ids and 1 not in ids and ids.count(4) == 1 and 3 not in ids
+
+
+def test_empty_table(spark):
+    assert exact_dedup.duplicates(empty(spark)).count() == 0
+    assert exact_dedup.drop_duplicates(empty(spark)).count() == 0
+
+
+def test_hot_group_and_full_filter(spark, monkeypatch):
+    # more rows than the filter has bits: all are suspect, the answer is the same
+    monkeypatch.setattr(exact_dedup, "MAX_FILTER_BITS", 64)
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 4000}") for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert verdicts(exact_dedup.duplicates(df)) == brute(rows)
+
+
+def test_no_false_negative_and_few_false_positives(spark):
+    rows = [(i, f"text {i}") for i in range(20000)] + [(20000 + i, f"text {i}") for i in range(500)]
+    prints = exact_dedup.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    bits = 1 << 18
+    flagged = exact_dedup.with_suspicion(prints, exact_dedup.repeated_bits(prints, bits), bits)
+    suspect = {r["id"] for r in flagged.where("suspect").collect()}
+    assert {i for i in range(500)} | {20000 + i for i in range(500)} <= suspect
+    assert len(suspect) < 1000 + 0.03 * 20000
+
+
+def test_plan_has_no_python(spark, sf_dir):
+    plan = QUERIES["op5_exact_dedup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

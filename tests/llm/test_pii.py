@@ -1,0 +1,135 @@
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from awkward import awkward, awkward_rows, empty, given
+
+from marlstone.llm import pii
+from marlstone.llm.queries import QUERIES
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def holds(kind, value):
+    digits = [int(c) for c in value if c in "0123456789"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        doubled = [d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(reversed(digits))]
+        return 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def brute(text):
+    return sorted((m.start(), k, m.end(), kind) for k, kind in enumerate(BASE)
+                  for m in re.finditer(BASE[kind], text or "") if holds(kind, m.group()))
+
+
+def spelled(spans):
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in spans)
+
+
+def check(row, text):
+    spans = brute(text)
+    count = Counter(s[3] for s in spans)
+    assert [row[f"n_{k}"] for k in BASE] == [count[k] for k in BASE]
+    assert row["base_sha256"] == hashlib.sha256(spelled(spans).encode()).hexdigest()
+    listed = row["spans"].split(",") if row["spans"] else []
+    assert [x for x in listed if not x.startswith("term:")] == [x for x in spelled(spans).split(",") if x]
+
+
+def test_query_matches_brute_force(spark, sf_dir):
+    docs = dict(given(sf_dir, "documents", "doc_id, text"))
+    rows = QUERIES["op8_pii"](spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        check(r, docs[r["doc_id"]])
+
+
+PIECES = ["a", "b.c", "@", ".", "x@y.z", "1", "12", "255", "256", "4111 1111 1111 1111", "4111-1111-1111-1112", "+",
+          "+1 (555) 010-9999", "(", ")", "-", " ", "%", "_", "é", "𝄞", "10.0.0.1", "0010.1.2.3", "a@b@c.d", "..",
+          "5500005555555559", "\n", "99999999999999999999.1.1.1", "com"]
+
+
+def test_nasty_texts(spark, tmp_path):
+    rng = random.Random(9)
+    docs = {i: "".join(rng.choices(PIECES, k=rng.randint(1, 25))) for i in range(3000)}
+    docs |= {5000: "a@" + "b." * 3000 + "c", 5001: "1 " * 6000, 5003: "+1" + "(" * 20_000,
+             5004: "1." * 3000, 5006: ".".join(["1"] * 4) + " " + "x@y.zz " * 500}
+    path = tmp_path / "sf"
+    spark.createDataFrame(list(docs.items()), "doc_id long, text string").write.parquet(
+        str(path / "documents.parquet"))
+    rows = QUERIES["op8_pii"](spark, str(path)).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        check(r, docs[r["doc_id"]])
+
+
+def test_long_runs_take_linear_time_and_no_deep_stack(spark):
+    """Plain backtracking would be quadratic or overflow the stack on these."""
+    texts = {1: "a" * 400_000, 2: "a@" + "b." * 100_000 + "c", 3: "9" * 300_000, 4: "+1" + "(" * 300_000,
+             5: "1 " * 200_000, 6: "a." * 200_000 + "@x"}
+    rows = pii.find_base(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    found = {r["id"]: [(s["kind"], s["start"], s["end"]) for s in r["base"]] for r in rows}
+    assert found == {1: [], 2: [("email", 0, len(texts[2]))], 3: [], 4: [], 5: [], 6: []}
+
+
+@pytest.fixture(scope="module")
+def leaky(spark):
+    """'kontakt' stands by a different address each time; 'der' is everywhere; 'seltsam' by one address in copies."""
+    rng = random.Random(1)
+    rows = [(i, f"Kontakt über m{i}@example.org im text der w{rng.randrange(50)}") for i in range(30)]
+    rows += [(100 + i, f"seltsam immer one@example.org und der w{rng.randrange(50)}") for i in range(40)]
+    rows += [(200 + i, f"sonst der w{rng.randrange(50)} nichts") for i in range(400)]
+    rows += [(999, "ein Kontakt ohne adresse")]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_terms_that_disclose_are_those_by_brute_force(leaky):
+    rows = [(r["doc_id"], r["text"]) for r in leaky.collect()]
+    base = {i: {t[brute_span[0]:brute_span[2]] for brute_span in brute(t)} for i, t in rows}
+    words = {i: {w for w in re.split(r"[^a-zà-ÿ]+", re.sub(BASE["email"], " ", t).lower()) if w} for i, t in rows}
+    import math
+
+    share = sum(bool(b) for b in base.values()) / len(rows)
+    expected = set()
+    for term in set().union(*words.values()):
+        holders = [i for i in words if term in words[i]]
+        both = [i for i in holders if base[i]]
+        if len(set().union(*(base[i] for i in both))) < pii.MIN_ENTITIES:
+            continue
+        pmi = math.log2(len(both) / len(holders) / share)
+        if pmi >= pii.ALPHA * -math.log2(share):
+            expected.add(term)
+    got = pii.disclosing_terms(leaky, pii.find_base(leaky))
+    assert {r["term"] for r in got.collect()} == expected
+    assert "kontakt" in expected and "der" not in expected and "seltsam" not in expected
+
+
+def test_spans_of_terms_and_sanitised_text(leaky):
+    rows = {r["id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.scan(leaky).collect()}
+    assert rows[999] == [("term", 4, 11)] and ("term", 0, 7) in rows[0] and rows[200] == []
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitise(leaky).collect()}
+    assert "Kontakt" not in texts[999] and "@" not in texts[3] and "[email]" in texts[3]
+    assert texts[200] == {r["doc_id"]: r["text"] for r in leaky.collect()}[200]
+
+
+def test_awkward_rows_and_empty_table(spark):
+    assert pii.scan(awkward(spark)).count() == len(awkward_rows())
+    assert pii.scan(empty(spark)).count() == 0
+    clean = pii.sanitise(awkward(spark))
+    assert clean.columns == awkward(spark).columns
+    texts = [r["text"] for r in clean.collect()]
+    assert None in texts and "mail [email] or [phone] from [ip] now" in texts
+
+
+def test_plan_has_no_python(spark, sf_dir):
+    plan = QUERIES["op8_pii"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
