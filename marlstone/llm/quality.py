@@ -12,11 +12,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.arrays import NOT_SPACE, bound_batches, byte_slices, split_words, text_buffer
+from marlstone.llm.storage import stored
 
 FEATURE_BITS = 24
 HEADS = (4, 5, 6, 7)  # characters of a word's beginning, which its inflections share
@@ -93,18 +95,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def associated(rows: np.ndarray, features: np.ndarray, grades: np.ndarray) -> np.ndarray:
-    """True where a feature's documents have other grades than the rest, by a chi-square test."""
-    if not len(grades):
-        return np.zeros(0, bool)
-    kinds, column = np.unique(features, return_inverse=True)
-    n_grades = int(grades.max()) + 1
-    seen = np.stack([np.bincount(column, grades[rows] == k, len(kinds)) for k in range(n_grades)], 1)
-    total = seen.sum(axis=1, keepdims=True)
-    expected = np.maximum(total * np.bincount(grades, minlength=n_grades) / len(grades), 1e-9)
-    chi2 = ((seen - expected) ** 2 / expected).sum(axis=1)
-    least = max(LEAST_CHI2, LEAST_CHI2_SHARE * len(grades))
-    return ((chi2 >= least) & (total[:, 0] >= MIN_DOCS))[column]
+def associated(sample: DataFrame) -> np.ndarray:
+    """Features whose documents have other grades than the rest, by a chi-square test.
+
+    ``sample`` has a grade and a list of features per document. Counting stays on
+    the executors; only features that pass come to the driver.
+    """
+    shares = {r["grade"]: r["count"] for r in sample.groupBy("grade").count().collect()}
+    n = sum(shares.values())
+    per_grade = [F.sum((F.col("grade") == g).cast("bigint")).alias(f"g{g}") for g in shares]
+    counts = sample.select("grade", F.explode(F.array_distinct("features")).alias("feature")).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("total"), *per_grade)
+    expected = {g: F.col("total") * share / n for g, share in shares.items()}
+    chi2 = sum((F.pow(F.col(f"g{g}") - expected[g], 2) / expected[g] for g in shares), F.lit(0.0))
+    least = max(LEAST_CHI2, LEAST_CHI2_SHARE * n)
+    kept = counts.where((F.col("total") >= MIN_DOCS) & (chi2 >= least)).select("feature")
+    return np.array(sorted(r["feature"] for r in kept.collect()), np.int64)
 
 
 def fit_model(rows: np.ndarray, features: np.ndarray, values: np.ndarray, grades: np.ndarray) -> Model:
@@ -191,18 +197,35 @@ def train(
                     "features": pa.ListArray.from_arrays(cuts, pa.array(feature[order].astype(np.int32))),
                     "vals": pa.ListArray.from_arrays(cuts, pa.array(value[order].astype(np.float32)))})
 
-    got = rows.mapInArrow(
-        extract, "id bigint, grade int, features array<int>, vals array<float>").toArrow().combine_chunks()
+    counted = stored(rows.mapInArrow(
+        extract, "id bigint, grade int, features array<int>, vals array<float>"), "quality-sample")
+    known = associated(counted)
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("features")
+            bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            keep = np.isin(flat, known)
+            cuts = pa.array(np.concatenate([[0], np.cumsum(keep)])[bounds].astype(np.int32))
+            cuts = pc.subtract(cuts, cuts[0])
+            inside = keep.copy()
+            inside[:bounds[0]] = inside[bounds[-1]:] = False
+            yield pa.record_batch({
+                "id": batch.column("id"), "grade": batch.column("grade"),
+                "features": pa.ListArray.from_arrays(cuts, pa.array(flat[inside])),
+                "vals": pa.ListArray.from_arrays(
+                    cuts, pa.array(batch.column("vals").values.to_numpy(zero_copy_only=False)[inside]))})
+
+    got = counted.mapInArrow(select, counted.schema).toArrow().combine_chunks()
     if not got.num_rows:
         return fit_model(np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0, int))
-    got = got.sort_by("id")
+    got = got.sort_by("id").combine_chunks()
     lists = got.column("features").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    rows, features = np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy().astype(np.int64)
-    values = got.column("vals").combine_chunks().flatten().to_numpy().astype(float)
-    grades = got.column("grade").to_numpy().astype(np.int64)
-    keep = associated(rows, features, grades)
-    return fit_model(rows[keep], features[keep], values[keep], grades)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return fit_model(
+        np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy().astype(np.int64),
+        got.column("vals").combine_chunks().flatten().to_numpy().astype(float),
+        got.column("grade").to_numpy().astype(np.int64))
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
