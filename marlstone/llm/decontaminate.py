@@ -15,6 +15,8 @@ from marlstone.llm.arrays import (
     LETTER_OR_DIGIT, Words, bound_batches, byte_slices, lowered, mixed, ragged_positions,
     split_words, text_buffer,
 )
+from marlstone.llm.storage import stored
+from marlstone.operators.joins import broadcast_if_small
 
 WINDOW = 10
 # Items are indexed in blocks of about this many bytes of text; each block is
@@ -220,7 +222,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **names: str) -> Da
     """
     id_col = names.get("id_col", "doc_id")
     hits = find_hits(docs, benchmark, **names).where(F.size("starts") > 0)
-    gone = hits.select(F.col("id").alias("__gone_id")).distinct()
+    gone = broadcast_if_small(stored(hits.select(F.col("id").alias("__gone_id")).distinct(), "contaminated"))
     return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.storage import stored
+from marlstone.operators.joins import broadcast_if_small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -111,6 +112,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` without the rows whose equal text has a larger id; all columns stay."""
     gone = duplicates(docs, id_col, text_col).where("not kept").select(
         F.col("id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct()
+    gone = broadcast_if_small(stored(gone, "exact-gone"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = F.sha2(lower_ascii(text).cast("binary"), 256)
     return docs.join(

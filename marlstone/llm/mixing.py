@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.llm.storage import stored
+from marlstone.operators.joins import broadcast_if_small
+
 # A larger mean is the sum of independent draws of at most this mean each.
 MEAN_PER_DRAW = 16.0
 # P(X > 100) is below 1e-40 at mean 16; numbers drawn are multiples of 2 ** -52.
@@ -72,6 +75,8 @@ def mix(
         raise ValueError(f"the documents already have columns {sorted(taken)}")
     table = with_distribution(rates.withColumn("rate", F.coalesce("rate", F.lit(0.0))).where("rate > 0")).select(
         F.col("mix_source").alias("__source"), F.col("draws").alias("__draws"), F.col("cdf").alias("__cdf"))
+    # measured: a small table of sources keeps the documents, and a hot source, from being shuffled for it
+    table = broadcast_if_small(stored(table, "mix-rates"))
     own_id, seed_col = docs[id_col], F.lit(seed)
     drawn = docs.join(table, docs[source_col].eqNullSafe(F.col("__source")))
     numbers = F.transform(F.sequence(F.lit(1), F.col("__draws")), lambda j: uniform(seed_col, own_id, j))

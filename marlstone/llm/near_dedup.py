@@ -30,6 +30,7 @@ from marlstone.llm.arrays import (
 from marlstone.llm.bloom import bloom_filter, may_contain
 from marlstone.llm.components import components
 from marlstone.llm.storage import stored
+from marlstone.operators.joins import broadcast_if_small
 
 SHINGLE_WORDS = 5
 THRESHOLD = (80, 100)  # shared * 100 >= united * 80
@@ -367,4 +368,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each group of near copies; all columns stay."""
     gone = near_duplicates(docs, id_col=id_col, **options).where("not kept").select(
         F.col("id").alias("__gone_id")).distinct()
+    gone = broadcast_if_small(stored(gone, "near-gone"))  # measured; beyond its bound the join shuffles
     return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
