@@ -3,7 +3,8 @@ r"""Personal data by pattern, and terms that give it away by corpus co-occurrenc
 Four kinds are found by pattern. A term discloses a kind when seeing it tells
 nearly as much as seeing an entity of that kind: with IC(e) = -log2 p(e) and
 PMI(t, e) = log2 p(t, e) / (p(t) p(e)) over all documents, when
-PMI(t, e) >= ALPHA * IC(e). Such terms are removed where p(e | t) is at least
+PMI(t, e) >= ALPHA * IC(e). The same measure is taken against every single
+entity, over different texts. Such terms are removed where p(e | t) is at least
 REMOVE and generalised to the kind they disclose elsewhere. Built from DataFrame
 functions alone.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.spans import matches, no_matches, text_key
 from marlstone.llm.storage import stored
+from marlstone.operators.joins import broadcast_if_small
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -33,9 +35,12 @@ PATTERNS = {
 
 ALPHA = 0.8
 REMOVE = 0.95
-# A term must occur with as many different entities of the kind, so that copies
-# of one document say nothing.
+# To disclose a kind, a term must occur with as many different entities of it, so
+# that copies of one document say nothing.
 MIN_ENTITIES = 8
+# To disclose one entity, a term must stand with it in as many different texts:
+# in a single text every rare word would tie with it equally.
+MIN_TEXTS = 2
 
 _SPLIT_TERMS = r"[^\p{L}]+"
 
@@ -101,49 +106,87 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(plain), _SPLIT_TERMS), lambda t: t != ""))
 
 
-def disclosing_terms(
-    docs: DataFrame, base: DataFrame, text_col: str = "text", alpha: float = ALPHA, min_entities: int = MIN_ENTITIES,
+def _scored(
+    docs: DataFrame, base: DataFrame, text_col: str, alpha: float, min_entities: int, min_texts: int,
 ) -> DataFrame:
-    """(term, h, kind, certainty): terms whose information about a kind exceeds the threshold.
+    """(term, h, kind, certainty, single): terms over the threshold, for a kind or for a single entity of it.
 
-    Counts cover all documents. Terms are counted by a 64-bit hash, combined
-    before the shuffle; only documents with an entity spell their terms out.
+    Kinds are counted over all documents, single entities over different texts.
+    Terms are counted by a 64-bit hash, combined before the shuffle; only
+    documents with an entity spell their terms out.
     """
-    # documents with an entity: which terms meet which entities
+    # texts with an entity: which terms meet which entities
     entities = F.array_distinct(F.transform("base", lambda s: F.struct(
         s["kind"].alias("kind"), F.xxhash64(s["value"]).alias("entity"))))
     # both arrays are made once per text, before either is exploded
-    owners = base.where(F.size("base") > 0).select(entities.alias("entities"), _terms(F.col("text")).alias("terms"))
-    pairs = owners.select("entities", F.explode("terms").alias("term")).select(
-        "term", F.explode("entities").alias("e")).select("e.kind", "e.entity", "term").distinct()
-    candidates = pairs.groupBy("kind", "term").count().where(F.col("count") >= min_entities).select(
-        "kind", "term", F.xxhash64("term").alias("h"))
-    # all documents: how often each term occurs, and with which kinds
+    owners = stored(base.where(F.size("base") > 0).select(
+        "k1", "k2", entities.alias("entities"), _terms(F.col("text")).alias("terms")).dropDuplicates(["k1", "k2"]), "pii-owners")
+    pairs = stored(owners.select("entities", F.explode("terms").alias("term")).select(
+        "term", F.explode("entities").alias("e")).groupBy("e.kind", "e.entity", "term").agg(
+        F.count(F.lit(1)).alias("both_texts")), "pii-pairs")
+    entity_texts = owners.select(F.explode("entities").alias("e")).groupBy("e.kind", "e.entity").agg(
+        F.count(F.lit(1)).alias("entity_texts"))
+    of_kind = pairs.groupBy("kind", "term").count().where(F.col("count") >= min_entities).select("kind", "term")
+    of_entity = pairs.where(F.col("both_texts") >= min_texts).join(entity_texts, ["kind", "entity"]).select(
+        "kind", "term", "both_texts", "entity_texts")
+    candidates = of_kind.withColumn("single", F.lit(False)).unionByName(
+        of_entity.withColumn("single", F.lit(True)), allowMissingColumns=True).withColumn("h", F.xxhash64("term"))
+    # all documents: how often each term occurs, and with which kinds; a text's copies share the weight of one
+    copies = stored(base.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "pii-copies")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    flagged = docs.select(text.alias("text")).select(
-        "text", *[F.array_contains(F.transform(base_spans(F.col("text")), lambda s: s["kind"]), kind)
-                  .cast("int").alias(kind) for kind in KINDS])
-    per_kind = flagged.agg(F.count(F.lit(1)).alias("docs"), *[F.sum(k).alias(k) for k in KINDS]).select(
-        "docs", F.explode(F.array(*[
+    flagged = docs.select(text.alias("text")).select("text", *text_key(F.col("text"))).join(
+        broadcast_if_small(copies), ["k1", "k2"], "left").select(
+        "text", (1 / F.coalesce("copies", F.lit(1))).alias("weight"),
+        *[F.array_contains(F.transform(base_spans(F.col("text")), lambda s: s["kind"]), kind)
+          .cast("int").alias(kind) for kind in KINDS])
+    per_kind = flagged.agg(
+        F.count(F.lit(1)).alias("docs"), F.round(F.sum("weight")).alias("texts"), *[F.sum(k).alias(k) for k in KINDS]).select(
+        "docs", "texts", F.explode(F.array(*[
             F.struct(F.lit(k).alias("kind"), F.col(k).alias("kind_docs")) for k in KINDS])).alias("k")).select(
-        "docs", "k.*")
-    words = flagged.select(*KINDS, F.explode(F.transform(_terms(F.col("text")), lambda t: F.xxhash64(t))).alias("h"))
-    counts = words.groupBy("h").agg(F.count(F.lit(1)).alias("term_docs"), *[F.sum(k).alias(k) for k in KINDS])
+        "docs", "texts", "k.*")
+    words = flagged.select(
+        "weight", *KINDS, F.explode(F.transform(_terms(F.col("text")), lambda t: F.xxhash64(t))).alias("h"))
+    counts = words.groupBy("h").agg(
+        F.count(F.lit(1)).alias("term_docs"), F.round(F.sum("weight")).alias("term_texts"),
+        *[F.sum(k).alias(k) for k in KINDS])
     together = reduce(lambda c, k: c.when(F.col("kind") == k, F.col(k)), KINDS, F)
-    joined = counts.join(candidates, "h").join(F.broadcast(per_kind), "kind").withColumn("both", together)  # 4 rows
-    information = -F.log2(F.col("kind_docs") / F.col("docs"))
-    pmi = F.log2(F.col("both") * F.col("docs") / (F.col("term_docs") * F.col("kind_docs")))
-    return joined.where((pmi >= alpha * information) & (information > 0)).select(
-        "term", "h", "kind", (F.col("both") / F.col("term_docs")).alias("certainty"))
+    joined = counts.join(candidates, "h").join(F.broadcast(per_kind), "kind")  # 4 rows
+
+    def either(one: str, kind: Column) -> Column:
+        return F.when(F.col("single"), F.col(one)).otherwise(kind)
+
+    measured = joined.select(
+        "term", "h", "kind", "single", either("texts", F.col("docs")).alias("all"),
+        either("term_texts", F.col("term_docs")).alias("with_term"),
+        either("entity_texts", F.col("kind_docs")).alias("with_entity"), either("both_texts", together).alias("both"))
+    information = -F.log2(F.col("with_entity") / F.col("all"))
+    pmi = F.log2(F.col("both") * F.col("all") / (F.col("with_term") * F.col("with_entity")))
+    return measured.where((pmi >= alpha * information) & (information > 0)).select(
+        "term", "h", "kind", (F.col("both") / F.col("with_term")).alias("certainty"), "single")
+
+
+def disclosing_terms(
+    docs: DataFrame, base: DataFrame, text_col: str = "text", alpha: float = ALPHA, min_entities: int = MIN_ENTITIES,
+) -> DataFrame:
+    """(term, h, kind, certainty): terms whose information about a kind exceeds the threshold."""
+    return _scored(docs, base, text_col, alpha, min_entities, MIN_TEXTS).where(~F.col("single")).drop("single")
+
+
+def revealing_terms(
+    docs: DataFrame, base: DataFrame, text_col: str = "text", alpha: float = ALPHA, min_texts: int = MIN_TEXTS,
+) -> DataFrame:
+    """(term, h, kind, certainty): the same per single entity; a term of several entities has a row for each."""
+    return _scored(docs, base, text_col, alpha, MIN_ENTITIES, min_texts).where("single").drop("single")
 
 
 def term_spans(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """(k1, k2, found): where the disclosing terms stand, per distinct text that holds one."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(text.alias("text")).select("text", *text_key(F.col("text")))
-    named = terms.groupBy("h").agg(F.first("term").alias("term"), F.max(F.struct("certainty", "kind")).alias("best"))
+    named = stored(terms.groupBy("h").agg(
+        F.first("term").alias("term"), F.max(F.struct("certainty", "kind")).alias("best")), "pii-named")
     hits = rows.select("k1", "k2", F.explode(F.transform(_terms(F.col("text")), lambda t: F.xxhash64(t))).alias("h")).join(
-        named, "h").groupBy("k1", "k2").agg(F.collect_set(F.struct("term", "best")).alias("terms"))
+        broadcast_if_small(named), "h").groupBy("k1", "k2").agg(F.collect_set(F.struct("term", "best")).alias("terms"))
     # the terms of a text, as one pattern; they are letters only
     pattern = F.concat(
         F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform("terms", lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
@@ -163,7 +206,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     rows = find_base(docs, id_col, text_col)
     narrow = stored(rows.select("id", "k1", "k2", "base"), "pii-base")
-    terms = stored(disclosing_terms(docs, rows, text_col), "pii-terms")
+    terms = stored(_scored(docs, rows, text_col, ALPHA, MIN_ENTITIES, MIN_TEXTS), "pii-terms")
     found = stored(term_spans(docs, terms, text_col), "pii-term-spans")
     both = narrow.join(found, ["k1", "k2"], "left")
     outside = _outside(F.coalesce("found", no_matches()), F.col("base"))

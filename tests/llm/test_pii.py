@@ -121,6 +121,44 @@ def test_spans_of_terms_and_sanitised_text(leaky):
     assert texts[200] == {r["doc_id"]: r["text"] for r in leaky.collect()}[200]
 
 
+def test_a_term_of_one_entity_is_found_and_removed(leaky):
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitise(leaky).collect()}
+    assert all("seltsam" not in texts[100 + i] and "one@" not in texts[100 + i] for i in range(40))
+    assert all(" der " in texts[i] for i in texts if i != 999)
+
+
+def test_terms_of_single_entities_are_those_by_brute_force(spark):
+    """Over different texts: copies of one text, in whatever number, neither make nor hide a term."""
+    import math
+
+    rng = random.Random(4)
+    names = [f"n{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    texts = []
+    for _ in range(300):
+        words = rng.choices(names, k=3) + rng.choices(["der", "und", "im"], k=2)
+        who = f"{words[0]}@example.org" if rng.random() < 0.3 else "niemand"
+        texts.append(" ".join(rng.choices(words, k=6) + [who, rng.choice(names)]))
+    texts += ["selten allein@example.org einmal"] * 50 + ["name two@example.org a", "name two@example.org b"]
+    texts += ["name ohne adresse"] * 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    once = sorted(set(texts))
+    base = [{t[a:b] for a, _, b, _ in brute(t)} for t in once]
+    words = [{w for w in re.split(r"[^a-z]+", re.sub(BASE["email"], " ", t).lower()) if w} for t in once]
+    expected = {}
+    for e in set().union(*base):
+        own = [i for i, b in enumerate(base) if e in b]
+        for term in set().union(*(words[i] for i in own)):
+            holders = [i for i, w in enumerate(words) if term in w]
+            both = len(set(own) & set(holders))
+            pmi = math.log2(both * len(once) / (len(own) * len(holders)))
+            if both >= pii.MIN_TEXTS and pmi >= pii.ALPHA * math.log2(len(once) / len(own)):
+                expected[term] = max(expected.get(term, 0), both / len(holders))
+    got = {}
+    for r in pii.revealing_terms(df, pii.find_base(df)).collect():
+        got[r["term"]] = max(got.get(r["term"], 0), r["certainty"])
+    assert got == pytest.approx(expected) and got["name"] == pytest.approx(2 / 3) and "selten" not in got
+
+
 def test_awkward_rows_and_empty_table(spark):
     assert pii.scan(awkward(spark)).count() == len(awkward_rows())
     assert pii.scan(empty(spark)).count() == 0
