@@ -14,7 +14,8 @@ def matches(text: Column, pattern: Column, context: bool = False) -> Column:
 
     split() and regexp_extract_all() walk the same matches, so the pieces
     between them and the values interleave to the whole text. With ``context``,
-    the text just before and after each match comes along.
+    the text just before and after each match comes along, other matches
+    included.
     """
     values = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.split(text, pattern, -1)
@@ -22,21 +23,38 @@ def matches(text: Column, pattern: Column, context: bool = False) -> Column:
         F.slice(pieces, 1, F.size(values)), values,
         lambda piece, value: F.struct(piece.alias("piece"), value.alias("value")))
     if context:
-        after = F.slice(pieces, 2, F.size(values))
-        steps = F.zip_with(steps, after, lambda s, a: F.struct(
-            s["piece"].alias("piece"), s["value"].alias("value"), F.left(a, F.lit(CONTEXT)).alias("after")))
+        steps = F.zip_with(steps, _following(pieces, values), lambda s, a: F.struct(
+            s["piece"].alias("piece"), s["value"].alias("value"), a.alias("after")))
 
     def step(acc: Column, s: Column) -> Column:
         start = acc["at"] + F.char_length(s["piece"])
         end = start + F.char_length(s["value"])
+        before = F.right(F.concat(acc["last"], s["piece"]), F.lit(CONTEXT)) if context else F.lit("")
         span = F.struct(
-            start.alias("start"), end.alias("end"), s["value"].alias("value"),
-            (F.right(s["piece"], F.lit(CONTEXT)) if context else F.lit("")).alias("before"),
+            start.alias("start"), end.alias("end"), s["value"].alias("value"), before.alias("before"),
             (s["after"] if context else F.lit("")).alias("after"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        last = F.right(F.concat(before, s["value"]), F.lit(CONTEXT)) if context else F.lit("")
+        return F.struct(
+            end.alias("at"), last.alias("last"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
     none = F.array().cast(f"array<{SPAN}>")
-    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]
+    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), none.alias("spans")), step)["spans"]
+
+
+def _following(pieces: Column, values: Column) -> Column:
+    """The text just after each match, gathered from the last match to the first."""
+    # what stands from one match's end to the next one's end
+    between = F.zip_with(
+        F.slice(pieces, 2, F.size(values)), F.slice(values, 2, F.size(values)),
+        lambda piece, value: F.concat(piece, F.coalesce(value, F.lit(""))))
+
+    def step(acc: Column, s: Column) -> Column:
+        after = F.left(F.concat(s, acc["next"]), F.lit(CONTEXT))
+        return F.struct(after.alias("next"), F.concat(acc["all"], F.array(after)).alias("all"))
+
+    none = F.array().cast("array<string>")
+    return F.reverse(F.aggregate(
+        F.reverse(between), F.struct(F.lit("").alias("next"), none.alias("all")), step)["all"])
 
 
 def no_matches() -> Column:

@@ -26,6 +26,21 @@ def test_candidates_match_brute_force(spark):
     assert sorted(tuple(r) for r in got.select("start", "end", "value").collect()) == expected
 
 
+def test_words_around_a_candidate_come_from_the_text(spark):
+    value = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY99"
+    names = ["aws_secret_access_key", "stripe_live_secret_key", "github_personal_access_token", "password"]
+    forms = ["{}={}", "{} = {}", '{}="{}"', '{} = "{}"', "{}: '{}'", "x1x1x1x1x1x1x1x1 {}={} 2y2y2y2y2y2y2y2y {}"]
+    texts = [f"é {f.format(name, value, '')} end" for name in names for f in forms]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.with_features(secrets.candidates(df), secrets.dictionary(df)).collect()
+    at = {(r["start"], r["before"], r["after"]) for r in found if r["value"] == value}
+    assert at == {((i := t.index(value)), t[max(i - 48, 0):i], t[i + 40:i + 88]) for t in texts}
+    for r in found:
+        if r["value"] == value:
+            assert r["named"] == r["assigned"] == 1
+            assert r["quoted"] == (r["before"][-1] in "\"'")
+
+
 def planted(n):
     """True keys under a name, and look-alikes: paths, numbers, identifiers of plain words."""
     import random
