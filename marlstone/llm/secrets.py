@@ -1,7 +1,9 @@
 r"""Secret scan: token-shaped candidates, and a random forest that drops the false ones.
 
 A candidate is a run of 16 or more characters of [A-Za-z0-9+/_-] with up to two
-'=' after it, with a digit or an upper-case letter inside. The forest sees its
+'=' after it, with a digit or with letters of both cases (more than a capital at
+its beginning); or 6 or more characters of any sort, without spaces and quotes,
+right after a secret's name and '=', ':' or 'is'. The forest sees its
 length, changes of character class, how much of it the corpus's dictionary
 covers, whether it stands in a path, and the words around it. Built from
 DataFrame functions and the DataFrame-based forest of Spark ML.
@@ -24,6 +26,9 @@ FEATURES = (
     "assigned", "named", "quoted", "mail",
 )
 NAME = r"(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|api.?key|access.?key|auth|bearer|credential|private.?key)"
+# What stands right before a value of the second form; bounded, so that it can be looked back for.
+ASSIGNED = NAME + r"[A-Za-z0-9_.-]{0,16}[\"'`]?\s{0,4}(?:[=:]|\bis\b)\s{0,4}[\"'`]?"
+NAMED_VALUE = rf"(?<={ASSIGNED})(?-i:[^\s\"'`]{{5,}}[^\s\"'`.,;:)\]}}>])"
 # Share of documents that a word must occur in to count as a dictionary word.
 # With w different words in an average document, at most w / share words do.
 DICTIONARY_SHARE = 0.001
@@ -36,9 +41,13 @@ LEAST = 0.5
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(k1, k2, n, start, end, value, before, after) per candidate of each distinct text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(text.alias("text")).where(F.col("text").rlike(r"[A-Za-z0-9+/_-]{16}")).select(
-        *text_key(F.col("text")), matches(F.col("text"), F.lit(CANDIDATE), context=True).alias("found"))
-    likely = F.filter("found", lambda s: s["value"].rlike("[0-9]") | s["value"].rlike(r"[a-z].*[A-Z]|[A-Z]{2}.*[a-z]"))
+    # the second form is looked for only where a name stands: it looks back from every character
+    names = F.col("text").rlike(ASSIGNED)
+    pattern = F.when(names, f"{NAMED_VALUE}|{CANDIDATE}").otherwise(CANDIDATE)
+    rows = docs.select(text.alias("text")).where(names | F.col("text").rlike(r"[A-Za-z0-9+/_-]{16}")).select(
+        *text_key(F.col("text")), matches(F.col("text"), pattern, context=True).alias("found"))
+    likely = F.filter("found", lambda s: s["value"].rlike("[0-9]") | s["value"].rlike(
+        r"[a-z].*[A-Z]|[A-Z]{2}.*[a-z]") | s["before"].rlike(ASSIGNED + "$"))
     return rows.select("k1", "k2", F.posexplode(likely).alias("n", "s")).select("k1", "k2", "n", "s.*").dropDuplicates(
         ["k1", "k2", "n"])
 
@@ -91,14 +100,16 @@ def labelled(found: DataFrame) -> DataFrame:
     """Findings that their form alone decides, as a first set of labels.
 
     Issued key forms and values assigned to a secret's name are true; plain
-    numbers, parts of addresses, and words without a digit are false. All other
+    numbers, parts of addresses, and words without a digit that are not assigned to
+such a name are false. All other
     candidates stay unlabelled, for the forest to judge. Reviewed findings with
     the columns of candidates() and a label can take the place of these.
     """
     value = F.col("value")
     true = value.rlike(r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abp]-[0-9A-Za-z-]+$") | (
         (F.col("named") > 0) & (F.col("assigned") > 0) & value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
-    false = value.rlike("^[0-9-]+$") | (F.col("mail") > 0) | ~value.rlike("[0-9]")
+    false = value.rlike("^[0-9-]+$") | (F.col("mail") > 0) | (
+        ~value.rlike("[0-9]") & ~((F.col("named") > 0) & (F.col("assigned") > 0)))
     return found.withColumn("label", F.when(true, 1.0).when(false, 0.0)).where("label is not null")
 
 

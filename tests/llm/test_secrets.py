@@ -41,6 +41,16 @@ def test_words_around_a_candidate_come_from_the_text(spark):
             assert r["quoted"] == (r["before"][-1] in "\"'")
 
 
+def test_short_and_odd_values_after_a_name_are_candidates(spark):
+    cases = [('db_password = "Tr0ub4dor9x" x', "Tr0ub4dor9x"), ("pwd: S3cr3t!2024, x", "S3cr3t!2024"),
+             ("the password is hunter2x now", "hunter2x"), ("PASSWD=QWERTYUI", "QWERTYUI"),
+             ("token='a$b%c&d'", "a$b%c&d"), ("aws_secret_access_key=p@ss/w0rd", "p@ss/w0rd"),
+             ("api_key=" + "0af3" * 8, "0af3" * 8), ("password = kurz", None), ("a plain text: 12345678", None)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {(r["value"], r["start"]) for r in secrets.candidates(df).collect()}
+    assert got == {(v, t.index(v)) for t, v in cases if v}
+
+
 def planted(n):
     """True keys under a name, and look-alikes: paths, numbers, identifiers of plain words."""
     import random
