@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import (
-    chat, decontaminate, exact_dedup, mixing, near_dedup, pii, quality, secrets, token_counts,
+    chat, decontaminate, exact_dedup, merkle, mixing, near_dedup, pii, quality, secrets, token_counts,
     token_output,
 )
 from marlstone.sources.sinks import work_path
@@ -129,3 +129,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(docs, model).select(
         F.col("id").alias("doc_id"), "expected_grade", "top_probability",
         (F.col("top_probability") >= 0.5).alias("selected"))
+
+
+@query("op11_merkle_manifest")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = F.col("n_chars") + F.lit(1)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf(
+        *[changed if name == "n_chars" else F.col(name) for name in merkle.FIELDS]))
+    found = merkle.manifest(docs, claim=tampered)
+    folded = merkle.fold(F.coalesce("claim", "leaf"), F.col("path"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join(merkle.siblings(F.col("path")), ""), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))

@@ -8,6 +8,6 @@ import __spark_entry__ as entry  # noqa: E402
 
 def test_one_query_per_operator_and_the_pipeline():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
