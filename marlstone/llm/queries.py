@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm import (
     chat, decontaminate, exact_dedup, merkle, mixing, near_dedup, pii, quality, secrets, token_counts,
-    token_output,
+    token_output, trie_bpe,
 )
 from marlstone.sources.sinks import work_path
 from marlstone.llm.registry import ORACLES, QUERIES, query, table
@@ -16,13 +16,14 @@ from marlstone.llm.storage import stored
 __all__ = ["ORACLES", "QUERIES"]
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 CONTEXT_TOKENS = 1024
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query("op1_near_dedup")
@@ -143,3 +144,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "leaf", "subroot", "root",
         F.sha2(F.array_join(merkle.siblings(F.col("path")), ""), 256).alias("proof_sha256"),
         folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+@query("op12_trie_bpe")
+def op12_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return trie_bpe.digests(docs, tokenizer_path(WORD_TOKENIZER)).withColumnRenamed("id", "doc_id")

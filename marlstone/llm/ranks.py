@@ -1,6 +1,6 @@
 """Ranks of rows by id within a group, from merged bitmaps instead of a sort.
 
-Ids are dealt to buckets of 65,536. Every task makes a bitmap of the ids it sees
+Ids are dealt to buckets of 4,096. Every task makes a bitmap of the ids it sees
 in each bucket (a list of positions where there are few); bitmaps of one bucket
 are merged, and a rank is the count of all ids in earlier buckets plus the count
 of bits before the id's own, read from a directory of popcounts. An id that
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from marlstone.llm.arrays import bound_batches
 from marlstone.llm.storage import stored
 
-BITS = 16
+BITS = 12
 SPAN = 1 << BITS
 BITMAP_BYTES = SPAN // 8
 HELD_ROWS = 1 << 20  # rows that a task gathers before it writes their bitmaps
@@ -182,9 +182,9 @@ def rows_before(counts: DataFrame, within: Sequence[str], levels: Sequence[str],
 
 def with_bases(bitmaps: DataFrame) -> DataFrame:
     """Stored bitmaps with ``base``, the rows of their group in earlier buckets."""
-    counts = bitmaps.select("grp", "bucket", "n").withColumns({
-        "high": F.shiftright("bucket", 2 * BITS), "mid": F.shiftright("bucket", BITS)})
-    before = rows_before(counts, ["grp"], ["high", "mid", "bucket"], "base").select("grp", "bucket", "base")
+    upper = {f"upper_{k}": F.shiftright("bucket", k * BITS) for k in (3, 2, 1)}
+    counts = bitmaps.select("grp", "bucket", "n").withColumns(upper)
+    before = rows_before(counts, ["grp"], [*upper, "bucket"], "base").select("grp", "bucket", "base")
     return bitmaps.join(before, ["grp", "bucket"])
 
 

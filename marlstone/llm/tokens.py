@@ -37,7 +37,7 @@ _CLOSING = np.zeros(256, bool)
 _CLOSING[list(b".,;:!?")] = True
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable character that byte-level vocabularies write for each byte."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(shown)]
@@ -102,7 +102,7 @@ class Encoder:
                         for t in layout.get("added_tokens", [])))
             self._marks = np.zeros(256, bool)
             self._marks[[t["content"].encode()[0] for t in layout.get("added_tokens", [])]] = True
-            self._model, self._letters = tokenizer.model, _byte_letters()
+            self._model, self._letters = tokenizer.model, byte_letters()
             line_break = self._encode(["\n"])[0]
             self._line_break = int(line_break[0]) if line_break.size == 1 else None
         self._reset()
