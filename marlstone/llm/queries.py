@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm import (
     chat, decontaminate, exact_dedup, merkle, mixing, near_dedup, pii, quality, secrets, token_counts,
-    token_output, trie_bpe,
+    token_output, trie_bpe, whitening,
 )
 from marlstone.sources.sinks import work_path
 from marlstone.llm.registry import ORACLES, QUERIES, query, table
@@ -150,3 +150,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return trie_bpe.digests(docs, tokenizer_path(WORD_TOKENIZER)).withColumnRenamed("id", "doc_id")
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
