@@ -102,10 +102,11 @@ class TrieBpe:
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             a, b, made = vocab[left], vocab[right], vocab[left + right]
-            if made in self._parts or any(self._rank(x) >= rank for x in (a, b)):
-                raise ValueError("merges are not in order of training")
             self._merges[a, b] = rank
             self._parts[made] = a, b, rank
+        if len(self._parts) < len(self._merges) or any(
+                max(self._rank(a), self._rank(b)) >= rank for a, b, rank in self._parts.values()):
+            raise ValueError("merges are not in order of training")
         self._stays: dict[int, bool] = {}
         self._reached: dict[int, bool] = {}
         self._ends, self._ending, self._state_of = [""], [[]], {"": 0}
