@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.arrays import bound_batches, byte_slices
-from marlstone.llm.tokens import Encoder
+from marlstone.llm.tokens import worker_encoder
 
 SCHEMA = "id bigint, n_bytes bigint, n_tokens bigint"
 SLICE_BYTES = 4 << 20
@@ -34,7 +34,7 @@ def token_counts(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 texts = part.column("text")

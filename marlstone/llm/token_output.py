@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm import simple8b
 from marlstone.llm.arrays import bound_batches, byte_slices
-from marlstone.llm.tokens import Encoder
+from marlstone.llm.tokens import worker_encoder
 
 SEGMENT_BYTES = 4 << 20  # text of a segment; a longer text is one segment
 
@@ -54,7 +54,7 @@ def segments(
     ordered = rows.repartitionByRange("id", F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, shard = worker_encoder(tokenizer), TaskContext.get().partitionId()
         segment = start = 0
         for batch in batches:
             for part in byte_slices(batch, "text", SEGMENT_BYTES):

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 from marlstone.llm.arrays import ragged_positions, text_buffer
+from marlstone.llm.storage import once_per_worker
 
 CHUNK_BYTES = 4 << 20
 CACHED_PIECES = 800_000
@@ -222,3 +223,8 @@ class Encoder:
 
     def _whole(self, texts: pa.Array) -> list[np.ndarray]:
         return self._encode([t or "" for t in texts.to_pylist()]) if len(texts) else []
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The worker's own encoder: loaded once, and what it has learned serves its later tasks."""
+    return once_per_worker(("encoder", path), lambda: Encoder(path))
