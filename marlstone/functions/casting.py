@@ -48,7 +48,12 @@ def parse_date(c: Column, formats: Sequence[str] = (ISO_DATE,)) -> Column:
 
     ISO takes the fast cast path, and may be followed by a time of day.
     """
-    iso = F.when(c.rlike(_ISO_DATE), c.try_cast("date")).otherwise(_iso_instant(c).cast("date"))
+    # most cells are ten characters of this shape, of which the cast takes digits only
+    padded = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-") & (
+        F.substring(c, 1, 1).between("0", "9")) & F.substring(c, 10, 1).between("0", "9")
+    iso = F.coalesce(
+        F.when(padded, c.try_cast("date")),
+        F.when(c.rlike(_ISO_DATE), c.try_cast("date")).otherwise(_iso_instant(c).cast("date")))
     tries = [
         iso if fmt == ISO_DATE
         else _try_format(c, fmt).cast("date")

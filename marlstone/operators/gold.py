@@ -82,20 +82,20 @@ def _cube(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(_incidents(df), _delayed(df), _total(df), _delayed_total(df))
 
 
-def time_cube(silver: DataFrame) -> DataFrame:
-    """(date, month, hour, line): bounded by the calendar and the line domain."""
-    return _cube(silver, ("event_date", "event_year_month", "event_hour", "line_canonical"))
+def time_cube(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(date, month, hour, line): bounded by the calendar and the line domain. ``by`` are further keys."""
+    return _cube(silver, (*by, "event_date", "event_year_month", "event_hour", "line_canonical"))
 
 
-def station_cube(silver: DataFrame) -> DataFrame:
+def station_cube(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(date, line, station): keeps station, so distinct counts stay exact."""
-    return _cube(silver, ("event_date", "line_canonical", "station"))
+    return _cube(silver, (*by, "event_date", "line_canonical", "station"))
 
 
-def code_cube(silver: DataFrame) -> DataFrame:
+def code_cube(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(year, quarter, line, code, description)."""
     return _cube(with_periods(silver), (
-        "event_year", "event_quarter", "line_canonical", "code_clean", "code_description"))
+        *by, "event_year", "event_quarter", "line_canonical", "code_clean", "code_description"))
 
 
 # --- gold models ------------------------------------------------------------

@@ -14,9 +14,10 @@ from marlstone.functions.casting import (
 from marlstone.functions.text import clean_text, map_by_rules, repair_mojibake, strip, strip_upper
 from marlstone.operators.joins import lookup
 from marlstone.sources.readers import ROW_ID
-from marlstone.sources.sinks import reliable_checkpoint
+from marlstone.sources.sinks import reliable_checkpoint, work_path
 
 SOURCE_ORDER = ("source_ord", ROW_ID)
+KEY_HASH = "_key_hash"
 BROADCAST_KEYS = 1_000_000  # hashes of repeated keys, sixteen bytes each in the hash table
 
 
@@ -59,7 +60,7 @@ def annotate(bronze: DataFrame, dimension: DataFrame, cfg: FeedConfig = FeedConf
 
 
 def rejects(annotated: DataFrame) -> DataFrame:
-    return annotated.where("is_reject").drop("is_reject")
+    return annotated.where("is_reject").drop("is_reject", KEY_HASH)
 
 
 def accepted(annotated: DataFrame) -> DataFrame:
@@ -80,27 +81,45 @@ def keep_first(
     ranking's filter cuts each key to one row per task before its shuffle, so a
     key copied many times does not reach one reducer. Runs jobs, because how
     many keys are repeated decides whether they can be broadcast; past
-    ``broadcast_keys`` all rows are ranked.
+    ``broadcast_keys`` all rows are ranked. Rows are stored once, with the hash,
+    so that however they are made is done once.
     """
-    by = [c for c in order if c in df.columns]
+    return first_of_keyed(keyed(df, keys), keys, order, broadcast_keys).select(*df.columns)
+
+
+def with_key_hash(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(KEY_HASH, F.xxhash64(*keys))
+
+
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the hash of its keys, stored: however it is made is done once."""
+    path = work_path(df.sparkSession, "keyed")
+    with_key_hash(df, keys).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def first_of_keyed(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (), broadcast_keys: int = BROADCAST_KEYS,
+) -> DataFrame:
+    """keep_first() of a stored table that has the hash of its keys in KEY_HASH, read column by column."""
+    by = [c for c in order if c in rows.columns]
     if not order or len(by) < len(order):
-        by += [c for c in df.columns if c not in keys and c not in by]
+        by += [c for c in rows.columns if c not in keys and c not in by and c != KEY_HASH]
     first = Window.partitionBy(*keys).orderBy(*by)
 
-    def ranked(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_position", F.row_number().over(first)).where("_position = 1").drop("_position")
+    def ranked(some: DataFrame) -> DataFrame:
+        return some.withColumn("_position", F.row_number().over(first)).where("_position = 1").drop("_position")
 
-    hashed = F.xxhash64(*keys)
     repeated = reliable_checkpoint(
-        df.groupBy(hashed.alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_key"))
+        rows.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(KEY_HASH))
     found = repeated.count()
     if not found:
-        return df
+        return rows
     if found > broadcast_keys:
-        return ranked(df)
-    small, keyed = F.broadcast(repeated), df.withColumn("_key", hashed)
-    alone = keyed.join(small, "_key", "left_anti").drop("_key")
-    return alone.unionByName(ranked(keyed.join(small, "_key", "left_semi").drop("_key")))
+        return ranked(rows)
+    small = F.broadcast(repeated)
+    return rows.join(small, KEY_HASH, "left_anti").unionByName(
+        ranked(rows.join(small, KEY_HASH, "left_semi")))
 
 
 def project_silver(df: DataFrame) -> DataFrame:
@@ -131,22 +150,37 @@ def _physical(keys: Sequence[str]) -> list[str]:
     return [names.get(k, k) for k in keys]
 
 
-def silver(annotated: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
-    """Accepted rows, copies removed, in the silver schema.
+def dedupe_keys(cfg: FeedConfig = FeedConfig()) -> list[str]:
+    """The configured keys as typed rows call them."""
+    return _physical(cfg.dedupe_keys)
+
+
+def candidates(annotated: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
+    """Accepted rows of a keyed table, with what silver and dedupe need of them."""
+    rows = accepted(annotated)
+    return rows.select(*_dedupe_input(rows, cfg), KEY_HASH)
+
+
+def survivors(rows: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
+    """Candidates without copies, in the silver schema.
 
     The kept columns follow the source order as tie-breaks: a feed read from a
     table has no row position.
     """
-    rows = accepted(annotated)
-    kept = _dedupe_input(rows, cfg)
-    keys = _physical(cfg.dedupe_keys)
-    ties = [c for c in kept if c not in keys and c not in SOURCE_ORDER]
-    return project_silver(keep_first(rows.select(*kept), keys, (*SOURCE_ORDER, *ties)))
+    keys = dedupe_keys(cfg)
+    ties = [c for c in rows.columns if c not in keys and c not in SOURCE_ORDER and c != KEY_HASH]
+    return project_silver(first_of_keyed(rows, keys, (*SOURCE_ORDER, *ties)))
+
+
+def silver(annotated: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
+    """Accepted rows, copies removed, in the silver schema; stores the rows unless they are keyed."""
+    rows = annotated if KEY_HASH in annotated.columns else keyed(annotated, dedupe_keys(cfg))
+    return survivors(candidates(rows, cfg), cfg)
 
 
 def build_silver(
     bronze: DataFrame, codes: DataFrame, cfg: FeedConfig = FeedConfig(),
 ) -> tuple[DataFrame, DataFrame]:
     """(silver, rejects) from bronze rows and the raw code reference."""
-    annotated = annotate(bronze, code_dimension(codes), cfg)
+    annotated = keyed(annotate(bronze, code_dimension(codes), cfg), dedupe_keys(cfg))
     return silver(annotated, cfg), rejects(annotated)

@@ -9,20 +9,23 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, fields
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.config import FeedConfig
+from marlstone.config import PARTITION_COLUMNS, FeedConfig
 from marlstone.operators import exports, gold, quality
 from marlstone.operators.gold import INCIDENTS, TOTAL
-from marlstone.operators.silver import annotate, code_dimension, rejects
+from marlstone.operators.joins import measured_bytes
+from marlstone.operators.silver import annotate, candidates, code_dimension, dedupe_keys, rejects, with_key_hash
 from marlstone.operators.silver import silver as silver_rows
+from marlstone.plans import incremental
 from marlstone.sources import bronze as bronze_layer
 from marlstone.sources import manifest as manifests
 from marlstone.sources import sinks
@@ -70,7 +73,8 @@ GOLD_MODELS: dict[str, Callable[[Cubes], DataFrame]] = {
 
 
 def silver_cubes(silver: DataFrame) -> Cubes:
-    return Cubes(gold.time_cube(silver), gold.station_cube(silver), gold.code_cube(silver))
+    """Cubes by month: each month's cells come from its own rows, so that a month can be replaced."""
+    return Cubes(*[cube(silver, PARTITION_COLUMNS) for cube in (gold.time_cube, gold.station_cube, gold.code_cube)])
 
 
 def cube_counts(cubes: Cubes) -> dict[str, DataFrame]:
@@ -97,22 +101,36 @@ def sized_shuffles(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+_SIZE = re.compile(r"Statistics\(sizeInBytes=([\d.E+]+) ([KMGTPE]?i?B)")
+_UNITS = {unit: 1024 ** i for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"))}
+UNKNOWN_BYTES = 2 ** 62  # what the optimizer assumes of data it knows nothing of is larger
+
+
 def table_bytes(spark: SparkSession, cfg: FeedConfig) -> int:
-    """Size of the sources that are catalog tables, as the optimizer estimates it."""
+    """Size of the sources that are catalog tables or views.
+
+    That is the sum over the relations a view reads, not the optimizer's product
+    for its joins. Where a relation's size is not known, the view is measured.
+    """
     names = [s.path for s in (*cfg.sources, *([cfg.codes] if cfg.codes else [])) if s.format == "table"]
-    plans = [spark.table(name)._jdf.queryExecution().optimizedPlan() for name in names]
-    return sum(int(str(p.stats().sizeInBytes())) for p in plans)
+    return sum(_relation_bytes(spark, name) for name in names)
+
+
+def _relation_bytes(spark: SparkSession, name: str) -> int:
+    lines = spark.sql(f"EXPLAIN COST SELECT * FROM {name}").first()[0].split("== Physical Plan ==")[0].splitlines()
+    plan = [(re.search(r"[A-Za-z]", line).start(), _SIZE.search(line)) for line in lines if _SIZE.search(line)]
+    # a node is a leaf where the next line is not below it
+    leaves = [found for (depth, found), (after, _) in zip(plan, [*plan[1:], (0, None)], strict=True) if after <= depth]
+    sizes = [float(found[1]) * _UNITS[found[2]] for found in leaves]
+    return int(sum(sizes)) if sizes and max(sizes) < UNKNOWN_BYTES else measured_bytes(spark.table(name))
 
 
 # --- steps ------------------------------------------------------------------
 
 def update_manifest(
     spark: SparkSession, cfg: FeedConfig, layout: Layout, run_id: str,
-) -> tuple[DataFrame, bool]:
-    """This run's manifest rows, compared with the run before and kept with it.
-
-    Also whether any file is new, changed or gone.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """This run's manifest rows, compared with the run before and kept with it; and that run's."""
     path = layout.path("manifest")
     nothing = manifests.empty_manifest(spark).withColumn("run_id", F.lit(run_id))
     nothing.write.mode("ignore").parquet(path)  # first run only
@@ -126,9 +144,11 @@ def update_manifest(
         rows = manifests.compare(manifests.scan_files(spark, files), previous)
         rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
     history = spark.read.schema(nothing.schema).parquet(path)
-    current, previous = history.where(F.col("run_id") == run_id), history.where(F.col("run_id") == last)
-    same = manifests.changed_files(current).isEmpty() and manifests.gone_files(current, previous).isEmpty()
-    return current, not same
+    return history.where(F.col("run_id") == run_id), history.where(F.col("run_id") == last)
+
+
+def unchanged(current: DataFrame, previous: DataFrame) -> bool:
+    return manifests.changed_files(current).isEmpty() and manifests.gone_files(current, previous).isEmpty()
 
 
 def build_bronze(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> tuple[DataFrame, int]:
@@ -144,18 +164,15 @@ def build_bronze(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> tuple[
         batch.observe(seen, F.collect_set(month).alias("months"), F.count(F.lit(1)).alias("rows")), layout.path("bronze"),
         gather=not cfg.time_ordered)
     stored = spark.read.schema(batch.schema).parquet(layout.path("bronze"))
-    return stored.where(_in_months([(m[0], m[1]) for m in seen.get["months"]])), seen.get["rows"]
+    return stored.where(incremental.in_months([(m[0], m[1]) for m in seen.get["months"]])), seen.get["rows"]
 
 
-def _in_months(months: list[tuple[int, int]]):
-    by_year: dict[int, list[int]] = {}
-    for year, month in months:
-        by_year.setdefault(year, []).append(month)
-    terms = [
-        (F.col("partition_year") == year) & F.col("partition_month").isin(*sorted(found))
-        for year, found in sorted(by_year.items())
-    ]
-    return reduce(lambda a, b: a | b, terms, F.lit(False))
+def typed_table(rows: DataFrame, codes: DataFrame, cfg: FeedConfig, layout: Layout) -> DataFrame:
+    """Typed rows with the hash of their key, stored until silver is made."""
+    path = layout.path("work", "typed")
+    typed = with_key_hash(annotate(rows, code_dimension(codes), cfg), dedupe_keys(cfg))
+    sinks.write_partitioned(typed, path, ("is_reject",), gather=False, replace=True)
+    return rows.sparkSession.read.schema(typed.schema).parquet(path)
 
 
 def store_silver(
@@ -163,23 +180,54 @@ def store_silver(
 ) -> tuple[DataFrame, DataFrame, int]:
     """Silver, rejects and silver's number of rows.
 
-    Bronze is read and typed once; dedupe then reads its key columns from the
-    typed rows, and the rows themselves are shuffled once, into their months.
+    Bronze is read and typed once; dedupe then reads one column of the typed
+    rows, and the rows themselves are shuffled once, into their months. Rows
+    without a timestamp are kept as they came, for runs that rebuild a few months.
     """
     spark = bronze.sparkSession
-    typed_path = layout.path("work", "typed")
-    typed = annotate(bronze, code_dimension(codes), cfg)
-    sinks.write_partitioned(typed, typed_path, ("is_reject",), gather=False, replace=True)
-    typed = spark.read.schema(typed.schema).parquet(typed_path)
+    typed = typed_table(bronze, codes, cfg, layout)
     rejected = rejects(typed)
     sinks.write_table(rejected, layout.path("silver", "rejects"))
     rows = Observation("silver_rows")
     sinks.write_silver(
         silver_rows(typed, cfg).observe(rows, F.count(F.lit(1)).alias("rows")), layout.path("silver", "delays"))
-    sinks.remove(spark, typed_path)
+    if incremental.supported(cfg):
+        sinks.write_table(incremental.untimed(candidates(typed, cfg)), layout.path("state", "untimed"))
+        sinks.write_table(incremental.months_of_files(bronze), layout.path("state", "file_months"))
+    sinks.remove(spark, layout.path("work"))
     return *stored_silver(spark, layout, rejected.schema), rows.get["rows"]
 
 
+def update_months(
+    spark: SparkSession, codes: DataFrame, cfg: FeedConfig, layout: Layout, change: incremental.Change,
+) -> list[incremental.Month]:
+    """Bronze, rejects, silver and cubes of the months that changed files touch; returns the months of silver.
+
+    Reads the files with rows in those months, and nothing else of the raw feeds.
+    """
+    work = layout.path("work")
+    batch = incremental.stored(incremental.read_files(spark, cfg, change.files), f"{work}/batch")
+    of_months = batch.where(incremental.in_months(change.months))
+    sinks.write_partitioned(of_months, layout.path("bronze"), gather=not cfg.time_ordered)
+    typed = typed_table(batch, codes, cfg, layout)
+    silver, rejected = stored_silver(spark, layout)
+    touched = incremental.in_months(change.months)
+    fresh = rejects(typed).where(touched)
+    sinks.write_table(
+        incremental.stored(rejected.where(~touched).unionByName(fresh), f"{work}/rejects"),
+        layout.path("silver", "rejects"))
+    rows, untimed, months = incremental.rebuilt_silver(
+        typed, change, spark.read.parquet(layout.path("state", "untimed")), silver, cfg, work)
+    incremental.replace_months(rows, layout.path("silver", "delays"), months)
+    for name, cube in vars(silver_cubes(rows)).items():
+        incremental.replace_months(
+            incremental.stored(cube, f"{work}/cubes/{name}"), layout.path("cubes", name), months)
+    sinks.write_table(untimed, layout.path("state", "untimed"))
+    sinks.write_table(change.file_months, layout.path("state", "file_months"))
+    sinks.remove(spark, work)
+    return months
+
+
 def stored_silver(spark: SparkSession, layout: Layout, rejects_schema=None) -> tuple[DataFrame, DataFrame]:
     reader = spark.read.schema(rejects_schema) if rejects_schema is not None else spark.read
     return (sinks.read_silver(spark, layout.path("silver", "delays")),
@@ -200,7 +248,7 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 def store_cubes(silver: DataFrame, layout: Layout) -> Cubes:
     cubes = vars(silver_cubes(silver))
     paths = {name: layout.path("cubes", name) for name in cubes}
-    _write_all(sinks.write_table, {paths[name]: cube for name, cube in cubes.items()})
+    _write_all(partial(sinks.write_partitioned, replace=True), {paths[name]: cube for name, cube in cubes.items()})
     return Cubes(**{name: _stored(cube, paths[name]) for name, cube in cubes.items()})
 
 
@@ -264,7 +312,7 @@ def run_report(
     }
 
 
-STATE_SCHEMA = "config string, bronze bigint, silver bigint"
+STATE_SCHEMA = "config string, columns string, bronze bigint, silver bigint"
 REPORT_SCHEMA = (
     "run_started_utc string, run_finished_utc string, "
     "manifest_files array<struct<logical_name: string, files: bigint, bytes: bigint, changed: bigint>>, "
@@ -282,19 +330,25 @@ def run(
     spark: SparkSession, cfg: FeedConfig, root: str,
     run_date: dt.date | None = None, gate: bool = False,
 ) -> RunResult:
-    """Rebuild every layer from the raw feeds; running it again changes nothing.
+    """Bring every layer up to date with the raw feeds; running it again changes nothing.
 
-    Where no file has changed since a finished run of the same configuration,
-    its layers are kept and only checks and report are made anew. With ``gate`` a
+    Where no file has changed since a finished run of the same configuration, its
+    layers are kept and only checks and report are made anew. Where some have,
+    the months they touch are rebuilt, as a full run would make them; another
+    configuration, code reference or set of columns rebuilds all. With ``gate`` a
     failed check stops the run after the report, before export.
     """
     layout = Layout(root)
     started = dt.datetime.now(dt.timezone.utc)
-    manifest, changed = update_manifest(spark, cfg, layout, started.isoformat())
+    manifest, previous = update_manifest(spark, cfg, layout, started.isoformat())
     raw_bytes = (manifest.agg(F.sum("bytes")).first()[0] or 0) + table_bytes(spark, cfg)
     with sized_shuffles(spark, raw_bytes):
-        kept = None if changed else finished_run(spark, cfg, layout)
-        return _rebuild(spark, cfg, layout, started, manifest, run_date, gate, kept)
+        finished = finished_run(spark, cfg, layout)
+        if not finished:
+            way = "all"
+        else:
+            way = "none" if unchanged(manifest, previous) else "months"
+        return _bring_up(spark, cfg, layout, started, manifest, previous, run_date, gate, finished, way)
 
 
 def fingerprint(cfg: FeedConfig) -> str:
@@ -302,11 +356,11 @@ def fingerprint(cfg: FeedConfig) -> str:
 
 
 def finished_run(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> dict | None:
-    """Row counts of the last finished run, if its configuration was this one.
+    """Row counts and columns of the last finished run, if its configuration was this one.
 
     A catalog table has no files in the manifest, so its feeds always run.
     """
-    if any(s.format == "table" for s in (*cfg.sources, *([cfg.codes] if cfg.codes else []))):
+    if not incremental.supported(cfg) or (cfg.codes and cfg.codes.format == "table"):
         return None
     path = layout.path("reports", "finished")
     state = spark.read.schema(STATE_SCHEMA).option("mode", "PERMISSIVE").json(path) if sinks.exists(spark, path) else None
@@ -314,21 +368,45 @@ def finished_run(spark: SparkSession, cfg: FeedConfig, layout: Layout) -> dict |
     return row.asDict() if row and row["config"] == fingerprint(cfg) else None
 
 
-def _rebuild(
-    spark: SparkSession, cfg: FeedConfig, layout: Layout, started: dt.datetime,
-    manifest: DataFrame, run_date: dt.date | None, gate: bool, kept: dict | None,
+def _columns(bronze: DataFrame) -> str:
+    return bronze.schema.simpleString()
+
+
+def _months_alone(
+    spark: SparkSession, cfg: FeedConfig, layout: Layout, manifest: DataFrame, previous: DataFrame, finished: dict,
+) -> incremental.Change | None:
+    """What is to be rebuilt, or None where only a full run will do."""
+    if _columns(incremental.read_files(spark, cfg, [])) != finished["columns"]:
+        return None
+    file_months = spark.read.parquet(layout.path("state", "file_months"))
+    return incremental.find_change(spark, cfg, manifest, previous, file_months, layout.path("work"))
+
+
+def _bring_up(
+    spark: SparkSession, cfg: FeedConfig, layout: Layout, started: dt.datetime, manifest: DataFrame,
+    previous: DataFrame, run_date: dt.date | None, gate: bool, finished: dict | None, way: str,
 ) -> RunResult:
     codes = read_source(spark, cfg.codes)
-    if kept:
-        bronze = spark.read.parquet(layout.path("bronze"))
+    change = _months_alone(spark, cfg, layout, manifest, previous, finished) if way == "months" else None
+    if way != "none":
+        sinks.remove(spark, layout.path("reports", "finished"))
+    if way == "none" or change:
+        if change:
+            update_months(spark, codes, cfg, layout, change)
+        file_months = spark.read.parquet(layout.path("state", "file_months"))
+        bronze = spark.read.parquet(layout.path("bronze")).where(
+            incremental.in_months(incremental.months_in(file_months)))
         silver, rejected = stored_silver(spark, layout)
-        n_bronze, n_silver = kept["bronze"], kept["silver"]
         cubes = stored_cubes(spark, layout)
+        n_bronze = file_months.agg(F.sum("rows")).first()[0] or 0
+        n_silver = cubes.by_time.agg(F.sum(INCIDENTS)).first()[0] or 0
+        columns = finished["columns"]
     else:
-        sinks.remove(spark, layout.path("reports", "finished"))
         bronze, n_bronze = build_bronze(spark, cfg, layout)
         silver, rejected, n_silver = store_silver(bronze, codes, cfg, layout)
         cubes = store_cubes(silver, layout)
+        columns = _columns(bronze)
+    if way != "none":
         materialise_gold(cubes, layout)
     sinks.publish_view(silver, cfg.view_name)
 
@@ -340,8 +418,8 @@ def _rebuild(
     sinks.write_json(report_frame(spark, report), layout.path("reports", "latest_run"))
     if gate:
         quality.assert_passed(checks)
-    if not kept:
+    if way != "none":
         publish(cubes, cfg, layout)
-        state = spark.createDataFrame([(fingerprint(cfg), n_bronze, n_silver)], STATE_SCHEMA)
+        state = spark.createDataFrame([(fingerprint(cfg), columns, n_bronze, n_silver)], STATE_SCHEMA)
         sinks.write_json(state, layout.path("reports", "finished"))
     return RunResult(silver, rejected, cubes, checks, report)

@@ -160,7 +160,8 @@ def snapshot_compare(spark, sf_dir):
         FROM annotated WHERE NOT is_reject) WHERE rn = 1"""))
 def keep_first(spark, sf_dir):
     keys = ["event_ts", "station_clean", "code_clean", "min_delay", "vehicle_id", "line_raw"]
-    kept = silver.keep_first(silver.accepted(annotated(spark, sf_dir)), keys, silver.SOURCE_ORDER)
+    typed = silver.keyed(annotated(spark, sf_dir), keys)
+    kept = silver.first_of_keyed(silver.accepted(typed), keys, silver.SOURCE_ORDER)
     return kept.select(
         "source_file", "source_row_id", "event_ts", "event_date",
         F.col("station_clean").alias("station"), "code_clean", "min_delay", "min_gap",
@@ -175,7 +176,9 @@ def keep_first(spark, sf_dir):
         FROM lineitem) WHERE rn = 1""")
 def keep_first_without_row_id(spark, sf_dir):
     """lineitem repeats (order, line) pairs and has no row id."""
-    return silver.keep_first(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    keys = ["l_orderkey", "l_linenumber"]
+    rows = silver.with_key_hash(table(spark, sf_dir, "lineitem"), keys)  # a table as it is needs no copy
+    return silver.first_of_keyed(rows, keys).drop(silver.KEY_HASH)
 
 
 @query("d2_duplicate_rows", """

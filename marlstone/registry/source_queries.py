@@ -20,7 +20,7 @@ _FEED_COLUMNS = "date, time, day, station, code, min_delay, min_gap, bound, line
 
 
 def write_csv(df, path: str) -> None:
-    df.write.options(
+    df.write.mode("overwrite").options(
         header=True, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
@@ -247,6 +247,22 @@ def file_digests(spark, sf_dir):
         F.regexp_extract("filename", r"\Ak=(\d+)/", 1).alias("file_key"), "bytes", "sha256")
 
 
+@query("s17_large_file_digests", """
+    SELECT CAST(doc_id // 2000 AS VARCHAR) AS file_key,
+           CAST(sum(4 * (strlen(coalesce(text, '')) + 1)) AS BIGINT) AS bytes,
+           sha256(string_agg(repeat(concat(coalesce(text, ''), chr(10)), 4), '' ORDER BY doc_id)) AS sha256
+    FROM documents GROUP BY doc_id // 2000""")
+def large_file_digests(spark, sf_dir):
+    """Text files of 2,000 documents each, every text four times: most take several reads to hash."""
+    path = sinks.work_path(spark, "texts")
+    line = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat_ws("\n", line, line, line, line).alias("value"), F.floor(F.col("doc_id") / 2000).alias("k"), "doc_id")
+    docs.repartition("k").sortWithinPartitions("k", "doc_id").drop("doc_id").write.partitionBy("k").text(path)
+    return manifests.scan_files(spark, {"texts": path}).select(
+        F.regexp_extract("filename", r"\Ak=(\d+)/", 1).alias("file_key"), "bytes", "sha256")
+
+
 @query("s19_reference_list", """
     SELECT DISTINCT code FROM (
         SELECT upper(event_type) AS code FROM events WHERE event_type <> 'signup'

@@ -8,8 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.sources import sinks
+
 # A file is hashed in pieces of this many bytes, whatever its size.
 CHUNK_BYTES = 8 * 1024 * 1024
+TASK_BYTES = 256 * 1024 * 1024
 
 MANIFEST_SCHEMA = (
     "logical_name string, filename string, source_url string, bytes bigint, "
@@ -21,17 +24,17 @@ _SCAN_SCHEMA = (
 )
 
 
-def _relative_name(url: Column, root: str) -> Column:
-    """The file's path below ``root``; its base name where ``root`` is the file itself.
+def _relative_name(spark: SparkSession, url: Column, root: str) -> Column:
+    """The file's path below the part of ``root`` before any wildcard; its base name where ``root`` is the file.
 
-    Files of sibling folders may share a base name, so that alone is no key.
+    Files of sibling folders may share a base name, so that alone is no key. An
+    address that is not below the root, as behind a link, is its own key.
     """
-    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root)
-    fixed = plain.split("*")[0] if "*" in plain else plain + "/"
-    folder = "/" + fixed[:fixed.rfind("/") + 1].lstrip("./").lstrip("/")
-    at = F.locate(folder, url)
-    below = F.substring(url, at + len(folder), F.length(url))
-    return F.when((at > 0) & (folder != "/"), below).otherwise(F.element_at(F.split(url, "/"), -1))
+    wild = re.search(r"[*?\[{]", root)
+    fixed = root[:root.rfind("/", 0, wild.start()) + 1] or "." if wild else root
+    folder = sinks.qualified(spark, fixed).rstrip("/") + "/"
+    return F.when(url.startswith(folder), F.substring(url, len(folder) + 1, F.length(url))).when(
+        url == folder[:-1], F.element_at(F.split(url, "/"), -1)).otherwise(url)
 
 
 def with_digests(listing: DataFrame) -> DataFrame:
@@ -70,19 +73,23 @@ def scan_files(spark: SparkSession, files: Mapping[str, str]) -> DataFrame:
     """One row per file of each logical source: size, modification time, SHA-256.
 
     Spark lists the files without reading them; each is then hashed by one task
-    in pieces, so memory does not grow with a file.
+    in pieces, so memory does not grow with a file. A task takes about
+    TASK_BYTES of files, so that many small ones do not become as many tasks. A
+    file that a pattern of the root names twice is one row.
     """
     scanned = None
     for name, path in files.items():
         listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
         url = F.col("path")
         part = listing.select(
-            F.lit(name).alias("logical_name"), _relative_name(url, path).alias("filename"),
+            F.lit(name).alias("logical_name"), _relative_name(spark, url, path).alias("filename"),
             url.alias("source_url"), F.col("length").alias("bytes"),
             F.col("modificationTime").alias("modified"))
         scanned = part if scanned is None else scanned.unionByName(part)
-    # one file per task: a listing is as long as the number of files
-    return with_digests(scanned.repartition(max(1, scanned.count())))
+    listing = scanned.dropDuplicates(["logical_name", "filename"])
+    count, size = listing.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(count, max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))))
+    return with_digests(listing.repartition(tasks))
 
 
 def empty_manifest(spark: SparkSession) -> DataFrame:

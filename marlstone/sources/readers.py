@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +32,31 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_name(c) for c in df.columns]).drop("_id")
 
 
-def files_by_line_breaks(spark: SparkSession, path: str, quote: str = '"') -> tuple[list[str], list[str]]:
+def listed_address(file: Column) -> Column:
+    """A listed file's address, local ones without a scheme."""
+    return F.regexp_replace(file, "^file:/+", "/")
+
+
+def file_address(file: Column) -> Column:
+    """The same address from the rows' own metadata, which escapes it."""
+    return listed_address(F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B"))))
+
+
+def _of_files(df: DataFrame, files: Sequence[str] | None) -> DataFrame:
+    """``df`` without the rows of other files, which are then not opened; None takes all."""
+    if files is None:
+        return df
+    return df.where(file_address(F.col("_metadata.file_path")).isin(list(files)) if files else F.lit(False))
+
+
+def files_by_line_breaks(
+    spark: SparkSession, path: str, quote: str = '"', only: Sequence[str] | None = None,
+) -> tuple[list[str], list[str]]:
     """(files with a record that spans lines, the other files), from one pass over the text.
 
     A line then holds an odd number of quotes. Files without any line are in neither list.
     """
-    lines = spark.read.text(path)
+    lines = _of_files(spark.read.text(path), only)
     quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
     found = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.max((quotes % 2 == 1).cast("int")).alias("odd")).orderBy("file").collect()
@@ -63,18 +83,19 @@ def _with_file_position(df: DataFrame) -> DataFrame:
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, multi_line: bool | None = None, **options: str,
+    spark: SparkSession, path: str, multi_line: bool | None = None, only: Sequence[str] | None = None, **options: str,
 ) -> DataFrame:
     """CSV with a header, every column text; the reader yields null for blanks.
 
     Multi-line parsing makes a file unsplittable, so unless told the reader
     first looks which files have a record that needs it, and parses only those
     that way. Files of a folder whose headers differ fail instead of being lined
-    up by position. ``options`` go before the reader's own.
+    up by position. ``only`` names the files to be read by their addresses.
+    ``options`` go before the reader's own.
     """
     settings = {"header": True, "inferSchema": False, "enforceSchema": False, "quote": '"', "escape": '"', **options}
     if multi_line is None and "multiLine" not in settings:
-        broken, plain = files_by_line_breaks(spark, path, settings["quote"])
+        broken, plain = files_by_line_breaks(spark, path, settings["quote"], only)
         if broken and plain:
             # folders named key=value below the path are columns of all files alike
             base = {} if set(path) & set("*?[{") else {"basePath": path}
@@ -85,20 +106,22 @@ def read_csv_text(
             return _with_file_position(parts[0]).unionByName(_with_file_position(parts[1]))
         multi_line = bool(broken)
     settings.setdefault("multiLine", bool(multi_line))
-    return _with_file_position(spark.read.options(**settings).csv(path))
+    return _with_file_position(_of_files(spark.read.options(**settings).csv(path), only))
 
 
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def read_source(spark: SparkSession, spec: SourceSpec, only: Sequence[str] | None = None) -> DataFrame:
     """A raw feed with normalised headers and its file position.
 
     Text feeds come back with '' for blanks; typed feeds keep their types.
+    ``only`` reads no other files than those of these addresses; the columns are
+    those of the whole feed all the same.
     """
     if spec.format == "csv":
-        return normalise_columns(read_csv_text(spark, spec.path, spec.multi_line, **spec.options)).na.fill("")
+        return normalise_columns(read_csv_text(spark, spec.path, spec.multi_line, only, **spec.options)).na.fill("")
     if spec.format == "table":
         raw = spark.table(spec.path)
         return normalise_columns(raw)
-    raw = spark.read.format(spec.format).options(**spec.options).load(spec.path)
+    raw = _of_files(spark.read.format(spec.format).options(**spec.options).load(spec.path), only)
     return normalise_columns(_with_file_position(raw))
 
 

@@ -84,6 +84,12 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(SILVER_SCHEMA.fields + layout)).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path, as Spark lists files below it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -5,6 +5,7 @@ from dataclasses import replace
 
 import pytest
 from frames import CODES, plain_silver, raw_feed, raw_row
+from pyspark.sql import functions as F
 
 from marlstone.config import SILVER_COLUMNS, FeedConfig, SourceSpec
 from marlstone.operators import quality
@@ -160,3 +161,30 @@ def test_a_catalog_table_counts_with_its_size(spark):
     spark.range(200_000).createOrReplaceTempView("sized_feed")
     cfg = FeedConfig(sources=(SourceSpec("t", "sized_feed", "table"),))
     assert medallion.table_bytes(spark, cfg) >= 200_000 * 8
+
+
+def test_views_of_unknown_size_are_measured(spark):
+    local = spark.createDataFrame([(i, "x" * 100) for i in range(1000)], "a int, b string")
+    local.createOrReplaceTempView("local_feed")
+    spark.createDataFrame(spark.sparkContext.parallelize([(1, "a")] * 500), "a int, b string").createOrReplaceTempView(
+        "rdd_feed")
+    spark.range(50_000).createOrReplaceTempView("left_feed")
+    spark.range(50_000).withColumn("v", F.lit(1)).createOrReplaceTempView("right_feed")
+    spark.sql("SELECT * FROM left_feed JOIN right_feed USING (id)").createOrReplaceTempView("joined_feed")
+    sizes = {name: medallion.table_bytes(spark, FeedConfig(sources=(SourceSpec("t", name, "table"),)))
+             for name in ("local_feed", "rdd_feed", "joined_feed")}
+    assert 100_000 <= sizes["local_feed"] < 1_000_000 and 0 < sizes["rdd_feed"] < 100_000
+    assert 700_000 <= sizes["joined_feed"] < 10_000_000
+
+
+def test_a_run_over_a_view_without_statistics(spark, cfg, tmp_path, monkeypatch):
+    monkeypatch.setattr(medallion, "publish", lambda *a: None)
+    spark.createDataFrame(TYPED, TYPED_DDL).createOrReplaceTempView("typed_feed_view")
+    setting = "spark.sql.shuffle.partitions"
+    before, used = spark.conf.get(setting), []
+    monkeypatch.setattr(medallion, "build_bronze", lambda *a, f=medallion.build_bronze: used.append(
+        spark.conf.get(setting)) or f(*a))
+    views = replace(cfg, sources=(SourceSpec("typed", "typed_feed_view", "table"), cfg.sources[1]))
+    result = medallion.run(spark, views, str(tmp_path / "out"), RUN_DATE)
+    assert result.silver.count() == len(expected()[0])
+    assert used == [before] == [spark.conf.get(setting)]

@@ -182,6 +182,35 @@ def test_one_row_per_file_however_often_a_nested_feed_is_scanned(spark, tmp_path
     assert sorted(r["filename"] for r in globbed.collect()) == names[2:4]
 
 
+@pytest.mark.parametrize("root, names", [
+    ("raw", ["a/part.csv", "b/part.csv", "c1/x/part.csv"]), ("raw/", ["a/part.csv", "b/part.csv", "c1/x/part.csv"]),
+    ("raw/*/part.csv", ["a/part.csv", "b/part.csv"]), ("raw/?", ["a/part.csv", "b/part.csv"]),
+    ("raw/[ab]/part.csv", ["a/part.csv", "b/part.csv"]), ("raw/{a,b,a}", ["a/part.csv", "b/part.csv"]),
+    ("raw/c[1-9]", ["c1/x/part.csv"]), ("raw/a/part.csv", ["part.csv"]), ("raw/a/par?.csv", ["part.csv"]),
+])
+def test_every_file_has_one_key_under_every_kind_of_root(spark, tmp_path, root, names):
+    for name in ("a/part.csv", "b/part.csv", "c1/x/part.csv"):
+        file = tmp_path / "raw" / "raw" / name  # the folder's own name occurs twice in the address
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(name)
+    stored = manifest.empty_manifest(spark)
+    for turn in range(4):
+        found = manifest.scan_files(spark, {"feed": str(tmp_path / "raw") + "/" + root})
+        rows = manifest.compare(found, stored).collect()
+        assert sorted(r["filename"] for r in rows) == names
+        assert {r["status"] for r in rows} == {"unchanged_skipped" if turn else "downloaded"}
+        stored = spark.createDataFrame(rows, manifest.MANIFEST_SCHEMA)
+
+
+def test_files_share_tasks_by_size(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text(str(i))
+    rows = manifest.scan_files(spark, {"feed": str(tmp_path)})
+    assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert {r["filename"]: r["sha256"] for r in rows.collect()} == {
+        f"{i}.csv": hashlib.sha256(str(i).encode()).hexdigest() for i in range(40)}
+
+
 def test_reference_codes(spark):
     df = spark.createDataFrame([(" b",), ("A ",), ("B",)], "code string")
     assert [r["code"] for r in readers.reference_codes(df).collect()] == ["A", "B"]
