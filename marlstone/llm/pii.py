@@ -38,9 +38,15 @@ REMOVE = 0.95
 # To disclose a kind, a term must occur with as many different entities of it, so
 # that copies of one document say nothing.
 MIN_ENTITIES = 8
-# To disclose one entity, a term must stand with it in as many different texts:
-# in a single text every rare word would tie with it equally.
+# To disclose one entity, a term must stand with it in as many different texts, of
+# which near copies are one: in a single text every rare word would tie with it
+# equally. It must also name that entity in as large a share of its own texts,
+# as the measure alone asks for ever less of that while the corpus grows.
 MIN_TEXTS = 2
+LEAST_CERTAINTY = 0.2
+# Texts are near copies when so much of their words, taken together, is in both.
+NEAR = 0.8
+BANDS, BAND_ROWS = 8, 2
 
 _SPLIT_TERMS = r"[^\p{L}]+"
 
@@ -106,6 +112,72 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(plain), _SPLIT_TERMS), lambda t: t != ""))
 
 
+def _tokens(text: Column) -> Column:
+    """Hashes of the distinct words of a text, numbers included, by which near copies are told."""
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _near_copies(owners: DataFrame) -> DataFrame:
+    """(k1, k2, family): texts of nearly the same words share a family.
+
+    Texts that agree in a band of minima of hashed words meet the smallest of
+    them, and join it where their word sets are near; so every text is compared
+    with as many others as there are bands at most.
+    """
+    def least_of(k: int) -> Column:
+        return F.array_min(F.transform("tokens", lambda h: F.xxhash64(h, F.lit(k))))
+
+    minima = [least_of(k) for k in range(BANDS * BAND_ROWS)]
+    bands = F.array(*[
+        F.xxhash64(F.lit(b), *minima[b * BAND_ROWS:(b + 1) * BAND_ROWS]) for b in range(BANDS)])
+    key = F.struct("k1", "k2")
+    rows = stored(owners.select("k1", "k2", "tokens", bands.alias("bands")), "pii-bands")
+    dealt = rows.select(key.alias("key"), F.explode("bands").alias("band"))
+    first = dealt.groupBy("band").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "band", "first")
+    met = dealt.join(first, "band").where(F.col("key") != F.col("first")).select("key", "first").distinct()
+    sets = rows.select(key.alias("key"), "tokens")
+    shared = F.size(F.array_intersect("tokens", "others"))
+    near = met.join(sets, "key").join(sets.select(F.col("key").alias("first"), F.col("tokens").alias("others")), "first").where(
+        shared >= NEAR * (F.size("tokens") + F.size("others") - shared))
+    families = near.groupBy("key").agg(F.min("first").alias("family"))
+    return owners.select(key.alias("key")).join(families, "key", "left").select(
+        "key.*", F.least(F.coalesce("family", "key"), F.col("key")).alias("family"))
+
+
+def _with_many_entities(owners: DataFrame, least: int) -> DataFrame:
+    """(kind, term) of the terms that stand with as many different entities of a kind.
+
+    Of one text's entities the first so many settle that, so a long list of
+    addresses is not paired with all its words.
+    """
+    def few(kind: str) -> Column:
+        own = F.transform(F.filter("entities", lambda e: e["kind"] == kind), lambda e: e["entity"])
+        return F.struct(F.lit(kind).alias("kind"), F.slice(F.array_sort(own), 1, least).alias("few"))
+
+    rows = owners.select("terms", F.explode(F.array(*[few(kind) for kind in KINDS])).alias("e")).where(F.size("e.few") > 0)
+    pairs = rows.select("e.kind", "e.few", F.explode("terms").alias("term")).select(
+        "kind", "term", F.explode("few").alias("entity"))
+    return pairs.groupBy("kind", "term").agg(F.count_distinct("entity").alias("n")).where(
+        F.col("n") >= least).select("kind", "term")
+
+
+def _with_one_entity(owners: DataFrame, least: int) -> DataFrame:
+    """(kind, term, both_texts, entity_texts) per entity and term that stand together in enough families of texts."""
+    families = owners.join(stored(_near_copies(owners), "pii-families"), ["k1", "k2"])
+    known = stored(families.select("k1", "k2", "family", F.explode("entities").alias("e")).groupBy("e").agg(
+        F.count(F.lit(1)).alias("entity_texts"), F.count_distinct("family").alias("n")).where(
+        F.col("n") >= least).select("e", "entity_texts"), "pii-entities")
+    # an entity of too few texts is left out before it meets any term
+    own = owners.select("k1", "k2", F.explode("entities").alias("e")).join(known, "e").groupBy("k1", "k2").agg(
+        F.collect_list(F.struct("e", "entity_texts")).alias("own"))
+    return families.join(own, ["k1", "k2"]).select("family", "own", F.explode("terms").alias("term")).select(
+        "family", "term", F.explode("own").alias("o")).groupBy("o.e", "o.entity_texts", "term").agg(
+        F.count(F.lit(1)).alias("both_texts"), F.count_distinct("family").alias("n")).where(F.col("n") >= least).select(
+        "e.kind", "term", "both_texts", "entity_texts")
+
+
 def _scored(
     docs: DataFrame, base: DataFrame, text_col: str, alpha: float, min_entities: int, min_texts: int,
 ) -> DataFrame:
@@ -120,15 +192,10 @@ def _scored(
         s["kind"].alias("kind"), F.xxhash64(s["value"]).alias("entity"))))
     # both arrays are made once per text, before either is exploded
     owners = stored(base.where(F.size("base") > 0).select(
-        "k1", "k2", entities.alias("entities"), _terms(F.col("text")).alias("terms")).dropDuplicates(["k1", "k2"]), "pii-owners")
-    pairs = stored(owners.select("entities", F.explode("terms").alias("term")).select(
-        "term", F.explode("entities").alias("e")).groupBy("e.kind", "e.entity", "term").agg(
-        F.count(F.lit(1)).alias("both_texts")), "pii-pairs")
-    entity_texts = owners.select(F.explode("entities").alias("e")).groupBy("e.kind", "e.entity").agg(
-        F.count(F.lit(1)).alias("entity_texts"))
-    of_kind = pairs.groupBy("kind", "term").count().where(F.col("count") >= min_entities).select("kind", "term")
-    of_entity = pairs.where(F.col("both_texts") >= min_texts).join(entity_texts, ["kind", "entity"]).select(
-        "kind", "term", "both_texts", "entity_texts")
+        "k1", "k2", entities.alias("entities"), _terms(F.col("text")).alias("terms"),
+        _tokens(F.col("text")).alias("tokens")).dropDuplicates(["k1", "k2"]), "pii-owners")
+    of_kind = _with_many_entities(owners, min_entities)
+    of_entity = _with_one_entity(owners, min_texts)
     candidates = of_kind.withColumn("single", F.lit(False)).unionByName(
         of_entity.withColumn("single", F.lit(True)), allowMissingColumns=True).withColumn("h", F.xxhash64("term"))
     # all documents: how often each term occurs, and with which kinds; a text's copies share the weight of one
@@ -161,8 +228,9 @@ def _scored(
         either("entity_texts", F.col("kind_docs")).alias("with_entity"), either("both_texts", together).alias("both"))
     information = -F.log2(F.col("with_entity") / F.col("all"))
     pmi = F.log2(F.col("both") * F.col("all") / (F.col("with_term") * F.col("with_entity")))
-    return measured.where((pmi >= alpha * information) & (information > 0)).select(
-        "term", "h", "kind", (F.col("both") / F.col("with_term")).alias("certainty"), "single")
+    certainty = F.col("both") / F.col("with_term")
+    return measured.where((pmi >= alpha * information) & (information > 0) & (
+        ~F.col("single") | (certainty >= LEAST_CERTAINTY))).select("term", "h", "kind", certainty.alias("certainty"), "single")
 
 
 def disclosing_terms(
@@ -190,7 +258,8 @@ def term_spans(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
     # the terms of a text, as one pattern; they are letters only
     pattern = F.concat(
         F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform("terms", lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
-    once = rows.join(hits, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    hits = stored(hits, "pii-hits")
+    once = rows.join(broadcast_if_small(hits), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     return once.select("k1", "k2", "terms", matches(F.col("text"), pattern).alias("found"))
 
 
@@ -229,7 +298,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with base spans replaced by their kind and disclosing terms generalised or removed.
 
-    Where spans overlap, the first one is replaced and the rest of the other is
+    Rows are told apart by their texts, so null and repeated ids make no
+    difference; null texts stay null. Where spans overlap, the first one is replaced and the rest of the other is
     cut. All columns stay; a text without spans is unchanged.
     """
     spans = scan(docs, id_col, text_col).where(F.size("spans") > 0).select(

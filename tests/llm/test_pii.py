@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 from awkward import awkward, awkward_rows, empty, given
+from pyspark.sql import functions as F
 
 from marlstone.llm import pii
 from marlstone.llm.queries import QUERIES
@@ -171,3 +172,53 @@ def test_awkward_rows_and_empty_table(spark):
 def test_plan_has_no_python(spark, sf_dir):
     plan = QUERIES["op8_pii"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def spelt(i):
+    """A word of letters for a number."""
+    return "q" + "".join("abcdefghij"[int(d)] for d in str(i))
+
+
+def test_near_copies_keep_their_words(spark):
+    """What stands with an entity in near copies alone says nothing, however many there are."""
+    rng = random.Random(12)
+    text = "zorvik almatep quellin brastow hendrive mokkari send it to ann@example.org today"
+    rows = [f"{text} one", f"{text} two"]
+    long = [spelt(i) for i in range(30)]
+    for _ in range(300):  # each with another word changed
+        words = list(long)
+        words[rng.randrange(30)] = spelt(1000 + rng.randrange(1000))
+        rows.append(" ".join(words[:15]) + " bob@example.org " + " ".join(words[15:]))
+    rows += [f"plain text {spelt(i)} of no one {spelt(i * i)}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert texts[0] == text.replace("ann@example.org", "[email]") + " one"
+    assert all(texts[i] == rows[i].replace("bob@example.org", "[email]") for i in range(2, len(rows)))
+
+
+def test_a_term_of_unlike_texts_is_found_beside_near_copies(spark):
+    rng = random.Random(13)
+    rows = []
+    for family in range(6):
+        words = [spelt(rng.randrange(3000)) for _ in range(20)]
+        rows += [" ".join([*words[:9], "x" + spelt(10 * family + k), *words[9:], "projekt", "kolibri@example.org"]) for k in range(3)]
+    rows += [" ".join(spelt(rng.randrange(3000)) for _ in range(20)) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["term"]: r["certainty"] for r in pii.revealing_terms(df, pii.find_base(df)).collect()}
+    assert found["projekt"] == 1.0 and not {t for t in found if t.startswith("x")}
+    spans = pii.scan(df).collect()
+    assert all(("projekt" in [s["value"] for s in r["spans"]]) == (r["id"] < 18) for r in spans)
+
+
+def test_a_list_of_addresses_does_not_meet_all_its_words(spark):
+    words = " ".join(spelt(i) for i in range(2000))
+    text = " ".join(f"m{i}@example.org" for i in range(2000))
+    df = spark.createDataFrame([(1, f"{text} {words}"), (2, "another text")], "doc_id long, text string")
+    entities = F.array_distinct(F.transform("base", lambda s: F.struct(
+        s["kind"].alias("kind"), F.xxhash64(s["value"]).alias("entity"))))
+    owners = pii.find_base(df).where(F.size("base") > 0).select(
+        "k1", "k2", entities.alias("entities"), pii._terms(F.col("text")).alias("terms"),
+        pii._tokens(F.col("text")).alias("tokens"))
+    assert pii._with_one_entity(owners, 2).count() == 0
+    many = pii._with_many_entities(owners, 8)
+    assert many.count() == 2000 and {r["kind"] for r in many.collect()} == {"email"}

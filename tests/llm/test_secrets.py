@@ -104,3 +104,78 @@ def test_redaction(spark):
 def test_plan_has_no_python(spark, sf_dir):
     plan = QUERIES["op2_secret_scan"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+PROBES = [
+    ("SECRETARY: Johnson2 came", None), ("author: Jonathan Smith wrote", None),
+    ("authenticated: 2024-01-02T10:00:00 by her", None), ("auth.example.com: https://auth.example.com/login/v2/x", None),
+    ("see commit " + "0af3" * 10 + " today", None), ("the password is hunter2x now", "hunter2x"),
+    ("key AKIA" + "Z9" * 8 + " was left", "AKIA" + "Z9" * 8), ("with ghp_" + "a1B2" * 9 + " in it", "ghp_" + "a1B2" * 9),
+    ("xoxb-12345678901-abcDEF123456789", "xoxb-12345678901-abcDEF123456789"), ('db_password = "Tr0ub4dor9x"', "Tr0ub4dor9x"),
+    ("password: required in this field", None), ("the token is undefined here", None),
+    ("password_for_the_reporting_cluster = Geheim77x", "Geheim77x"), ("number 4929123412341234 printed", None),
+]
+
+
+def verdicts(df):
+    texts = {i: t for i, (t, _) in enumerate(PROBES)}
+    rows = secrets.scan(df).where("id between 0 and 99").collect()
+    found = {r["id"]: [texts[r["id"]][int(a):int(b)] for a, b in (s.split(":") for s in r["secrets"].split(",") if s)]
+             for r in rows if r["id"] in texts}
+    return [found[i] for i in texts]
+
+
+def test_verdicts_do_not_depend_on_the_rest_of_the_table(spark):
+    alone = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PROBES)], "doc_id long, text string")
+    expected = [[value] if value else [] for _, value in PROBES]
+    assert verdicts(alone) == expected
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id + 1000 AS doc_id", "text")
+    assert verdicts(alone.unionByName(docs)) == expected
+
+
+def test_every_form_is_judged_right_on_held_out_examples(spark):
+    made = secrets.examples(spark, 1200, seed=99)
+    judged = secrets.judged(secrets.labelled(made), secrets.default_model(spark)).collect()
+    by_form = {}
+    for r in judged:
+        by_form.setdefault((r["form"], r["label"]), []).append((r["probability"] >= 0.5) == (r["label"] == 1.0))
+    assert len(by_form) == 12
+    for form, right in by_form.items():
+        assert len(right) >= 80 and sum(right) >= 0.9 * len(right), form
+    told = [r for r in judged if r["probability"] >= 0.5]
+    for issued in ("issued", "named short", "named letters", "named hexadecimal", "loose letters"):
+        assert all(r["label"] == 1.0 for r in told if r["form"] == issued)
+
+
+def test_reviewed_findings_can_take_the_place_of_the_examples(spark):
+    texts = [(i, f"the ticket {'AB' if i % 2 else 'XY'}{i:016d}Q of today") for i in range(200)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = secrets.with_features(secrets.candidates(df), secrets.dictionary(df))
+    marked = found.withColumn("label", found["upper_share"] * 0 + found["value"].startswith("AB").cast("double"))
+    assert secrets.train(marked.where("label = 1")) is None
+    assert secrets.scan(df, model=secrets.train(marked)).count() == 200
+
+
+def test_places_and_surroundings_of_many_matches(spark):
+    import random
+
+    rng = random.Random(8)
+    parts = ["password=ab12cd34", "x", " ", "é𝄞", "A1" * 10, "token: 'zz99$$11'", "-", "," * 60, "word " * 12, "secret is aa11bb22"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pattern = re.compile(secrets.NAMED.replace("(?i:s?)", "[sS]?") + "|" + secrets.RUN.replace("}+", "}"))
+    keys = {tuple(r)[1:]: r["doc_id"] for r in df.select("doc_id", *secrets.text_key(df["text"])).collect()}
+    for r in secrets.candidates(df).collect():
+        text = texts[keys[r["k1"], r["k2"]]]
+        assert text[r["start"]:r["end"]] == r["value"]
+        assert r["before"] == text[max(0, r["start"] - 48):r["start"]] and r["after"] == text[r["end"]:r["end"] + 48]
+    total = sum(len({(m.start(1) if m.group(1) else m.start()) for m in pattern.finditer(t)}) for t in set(texts))
+    assert secrets.candidates(df).count() == total
+
+
+def test_each_pattern_walks_the_texts_once(spark):
+    df = spark.createDataFrame([(1, "password=ab12cd34")], "doc_id long, text string")
+    rows = df.select(*[c.alias(n) for c, n in zip(
+        secrets.match_parts(df["text"], secrets.RUN), ("values", "pieces"), strict=True)])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("split(") == 1
