@@ -9,7 +9,7 @@ one running sum over shards.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,9 @@ def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
 
 def segments(
     docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Segments of the documents in ascending id order.
+    """Segments of the documents in ascending id order, or in that of the columns ``order``.
 
     Null text is empty: only its end id is written. Rows of equal id follow each
     other in the order of their texts; rows without id come first. An empty
@@ -49,9 +50,12 @@ def segments(
     bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *[F.col(c).alias(f"order{k}") for k, c in enumerate(order)])
+    given = [f"order{k}" for k in range(len(order))]
     # the text is in the range as well, so that a repeated id can be split
-    ordered = rows.repartitionByRange("id", F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
+    ordered = rows.repartitionByRange(*given, "id", F.substring("text", 1, 64)).sortWithinPartitions(
+        *given, "id", "text").select("id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = worker_encoder(tokenizer), TaskContext.get().partitionId()

@@ -88,3 +88,45 @@ def test_documents_and_spans_go(spark):
     assert cut[2] == "a b c d e f g h i" and cut[4] is None
     assert cut[6] == "zz \n zz" and not words(cut[1]) and not words(cut[3])
     assert decontaminate.drop_contaminated(awkward(spark), items).columns == awkward(spark).columns
+
+
+def test_blocks_of_items_never_merge_rows(spark):
+    """Rows with equal or no ids stay apart, whatever the benchmark's size."""
+    texts = [t for _, t in DOCS]
+    docs = [(i, t) for i, t in zip([None, 1, 1, None, 2, 2, 3, 3, None, 3, 1], texts, strict=True)] + [(None, texts[0])] * 3
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = small(spark)[1]
+
+    def rows(**options):
+        found = decontaminate.report(decontaminate.find_hits(df, items, **options)).collect()
+        return sorted((r["id"] is not None, r["id"] or 0, r["n_words"], r["n_hit"], r["items"]) for r in found)
+
+    one = rows()
+    assert len(one) == len(docs) and rows(block_bytes=20) == one and rows(block_bytes=3) == one
+
+
+def test_rows_without_id_and_with_one_id_are_judged_by_their_text(spark):
+    items = small(spark)[1]
+    rows = [(None, "clean text", 1, 2), (None, DOCS[0][1], 1, 2), (1, DOCS[2][1], 1, 2), (1, "other clean text", 1, 2), (1, None, 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k1 int, starts int")
+    left = decontaminate.drop_contaminated(df, items)
+    assert left.columns == df.columns
+    assert sorted(str(tuple(r)) for r in left.collect()) == sorted(str(rows[i]) for i in (0, 3, 4))
+    cut = decontaminate.remove_spans(df, items)
+    assert cut.columns == df.columns
+    texts = [r["text"] for r in cut.collect()]
+    assert {"clean text", "other clean text", None} <= set(texts)
+    assert all(not words(t) for t in texts if t not in ("clean text", "other clean text"))
+
+
+def test_an_index_is_a_few_times_its_text(spark):
+    import pickle
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(5000)]
+    texts = [" ".join(rng.choices(vocabulary, k=200)) for _ in range(400)]
+    index = decontaminate.window_set(list(range(400)), pa.array(texts))
+    assert len(pickle.dumps(index)) < 6 * sum(map(len, texts))

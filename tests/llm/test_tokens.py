@@ -129,3 +129,12 @@ def test_counts_query_and_awkward_rows(spark, sf_dir, library):
     assert sorted((r["n_bytes"], r["n_tokens"]) for r in got) == sorted(
         (len((t or "").encode()), len(x)) for t, x in zip(texts, ids_of(library, texts), strict=True))
     assert token_counts.token_counts(empty(spark), tokenizer_path()).count() == 0
+
+
+def test_an_order_of_ones_own_is_kept_in_the_files(spark, tmp_path):
+    rows = [(i, f"text {i}", (i * 7) % 20) for i in range(20)] + [(3, "text 3", 19)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, order0 long")
+    path = str(tmp_path / "tokens")
+    token_output.write_tokens(df, path, tokenizer_path(), order=["order0"])
+    found = sorted(token_output.read_tokens(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["id"] for r in found] == [i for i, _, _ in sorted(rows, key=lambda r: (r[2], r[0]))]
