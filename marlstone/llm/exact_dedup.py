@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.storage import stored
 from marlstone.operators.joins import broadcast_if_small
+from marlstone.sources.sinks import work_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 BITS_PER_ROW = 8
-# The two filters that are broadcast take this many bits each at most (16 MB).
-# Beyond 16 million rows they fill up, so more rows are suspect and shuffle
-# (as an id and a digest): slower, never wrong.
-MAX_FILTER_BITS = 1 << 27
+# The two filters that are broadcast take this many bits each at most (64 MB), enough
+# for 67 million rows. More rows take several passes, each over the digests of its own
+# range with filters of its own, so that the share of suspect rows does not grow. Past
+# the last pass's room (a billion rows) the filters fill up, so more rows are suspect
+# and shuffle, as an id and a digest: slower, never wrong.
+MAX_FILTER_BITS = 1 << 29
+MAX_PASSES = 16
 # A digest of more rows than this, or than this share of all, is hot: there are at
 # most 10,000 of them, so they are broadcast and their rows never shuffle.
 HOT_ROWS, HOT_SHARE = 1000, 10_000
@@ -75,6 +79,23 @@ def with_suspicion(prints: DataFrame, filters: DataFrame, bits: int) -> DataFram
     return rows.select("id", "digest", suspect.alias("suspect"))
 
 
+def flagged_rows(prints: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of stored prints with their suspicion, pass by pass; stored."""
+    passes = min(max(1, -(-BITS_PER_ROW * n // MAX_FILTER_BITS)), MAX_PASSES)
+    bits = min(1 << (max(BITS_PER_ROW * -(-n // passes), _SEGMENT_BITS) - 1).bit_length(), MAX_FILTER_BITS)
+    if passes == 1:
+        return stored(with_suspicion(prints, repeated_bits(prints, bits), bits), "exact-flagged")
+    # rows of one pass lie together in every file, so that a pass reads little of the others'
+    ranged = stored(prints.withColumn("pass", F.pmod(F.xxhash64("digest", F.lit("pass")), F.lit(passes)).cast(
+        "int")).sortWithinPartitions("pass"), "exact-ranged")
+    path = work_path(prints.sparkSession, "exact-flagged")
+    for k in range(passes):
+        own = ranged.where(F.col("pass") == k).drop("pass")
+        found = with_suspicion(own, repeated_bits(own, bits), bits)
+        found.write.parquet(f"{path}/pass={k}")
+    return prints.sparkSession.read.schema(found.schema).parquet(path).select(*found.columns)
+
+
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept, digest.
 
@@ -86,8 +107,7 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     prints = stored(fingerprints(docs, id_col, text_col), "exact-prints")
     n = prints.count()
-    bits = min(1 << (max(BITS_PER_ROW * n, _SEGMENT_BITS) - 1).bit_length(), MAX_FILTER_BITS)
-    flagged = stored(with_suspicion(prints, repeated_bits(prints, bits), bits), "exact-flagged")
+    flagged = flagged_rows(prints, n)
     suspects = flagged.where("suspect").select("id", "digest")
     groups = stored(suspects.groupBy("digest").agg(
         F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "exact-groups")

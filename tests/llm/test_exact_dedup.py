@@ -64,6 +64,21 @@ def test_no_false_negative_and_few_false_positives(spark):
     assert len(suspect) < 1000 + 0.03 * 20000
 
 
+def test_passes_by_digest_range_give_the_same_and_spare_the_shuffle(spark, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(20000)] + [(20000 + i, f"text {i}") for i in range(300)]
+    rows += [(30000 + i, "hot") for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(exact_dedup, "MAX_FILTER_BITS", 1 << 16)
+    passes = []
+    monkeypatch.setattr(exact_dedup, "repeated_bits", lambda p, b, f=exact_dedup.repeated_bits: passes.append(b) or f(p, b))
+    assert verdicts(exact_dedup.duplicates(df)) == brute(rows)
+    assert passes == [1 << 16] * 4
+    flagged = exact_dedup.flagged_rows(exact_dedup.fingerprints(df, "doc_id", "text"), len(rows))
+    suspect = {r["id"] for r in flagged.where("suspect").collect()}
+    assert {*range(300), *range(20000, 20300), *range(30000, 35000)} <= suspect
+    assert len(suspect) < 5600 + 0.05 * 20000
+
+
 def test_plan_has_no_python(spark, sf_dir):
     plan = QUERIES["op5_exact_dedup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
