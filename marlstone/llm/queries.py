@@ -132,7 +132,67 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("top_probability") >= 0.5).alias("selected"))
 
 
-@query("op11_merkle_manifest")
+@query("op11_merkle_manifest", """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang,
+    concat_ws('', CASE WHEN doc_id IS NULL THEN '-' ELSE concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id) END,
+      CASE WHEN source IS NULL THEN '-' ELSE concat(strlen(source), ':', source) END,
+      CASE WHEN lang IS NULL THEN '-' ELSE concat(strlen(lang), ':', lang) END) AS head,
+    n_chars, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END AS tail,
+    list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),
+      lambda crc, c: list_reduce(
+        list_prepend(xor(crc, c), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda r, bit: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END)) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n,
+    sha256(concat(head, CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars) END, tail)) AS leaf,
+    CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0 THEN
+      sha256(concat(head, CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(CAST(n_chars + 1 AS VARCHAR)), ':', n_chars + 1) END, tail))
+    END AS changed
+  FROM fields),
+nodes AS (
+  SELECT lang, 0 AS level, place, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, place // 2, n),
+subroots AS (
+  SELECT lang, digest AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, place, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM tops WHERE n > 1 GROUP BY level, place // 2, n),
+steps AS (
+  SELECT l.doc_id, l.lang, x.level AS step, (l.place >> x.level) & 1 AS odd, coalesce(s.digest, '') AS sibling
+  FROM leaves l JOIN (SELECT DISTINCT lang, level FROM nodes WHERE n > 1) x ON x.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM l.lang AND s.level = x.level AND s.place = xor(l.place >> x.level, 1)
+  UNION ALL
+  SELECT l.doc_id, l.lang, r.height + x.level, (r.place >> x.level) & 1, coalesce(s.digest, '')
+  FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang
+  JOIN (SELECT DISTINCT level FROM tops WHERE n > 1) x ON true
+  LEFT JOIN tops s ON s.level = x.level AND s.place = xor(r.place >> x.level, 1)),
+paths AS (
+  SELECT doc_id, lang, list(struct_pack(odd := odd, sibling := sibling) ORDER BY step) AS path,
+         sha256(string_agg(sibling, '' ORDER BY step)) AS proof_sha256
+  FROM steps GROUP BY doc_id, lang),
+folded AS (
+  SELECT l.doc_id, l.lang, 0 AS step, coalesce(l.changed, l.leaf) AS digest FROM leaves l
+  UNION ALL
+  SELECT f.doc_id, f.lang, f.step + 1,
+    sha256(CASE WHEN p.path[f.step + 1].odd = 1 THEN concat(p.path[f.step + 1].sibling, f.digest)
+                ELSE concat(f.digest, p.path[f.step + 1].sibling) END)
+  FROM folded f JOIN paths p ON p.doc_id = f.doc_id AND p.lang IS NOT DISTINCT FROM f.lang WHERE f.step < len(p.path)),
+ends AS (SELECT doc_id, lang, arg_max(digest, step) AS folded_root FROM folded GROUP BY doc_id, lang)
+SELECT l.doc_id, l.leaf, r.subroot, t.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+       e.folded_root, e.folded_root = t.digest AS verified
+FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN tops t ON t.n = 1
+JOIN ends e ON e.doc_id = l.doc_id AND e.lang IS NOT DISTINCT FROM l.lang
+LEFT JOIN paths p ON p.doc_id = l.doc_id AND p.lang IS NOT DISTINCT FROM l.lang
+""")
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     changed = F.col("n_chars") + F.lit(1)

@@ -129,3 +129,16 @@ def test_numbers_of_values_follow_their_order(spark):
     got = ranks.numbered(spark.createDataFrame([(v,) for v in values], "v string"), "v").collect()
     expected = sorted(set(values), key=lambda v: (v is not None, (v or "").encode()))
     assert {r["v"]: r["number"] for r in got} == {v: i for i, v in enumerate(expected)}
+
+
+def test_sql_says_the_same(spark):
+    import duckdb
+
+    from marlstone.llm.queries import ORACLES
+
+    sf_dir = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    expected = con.sql(ORACLES["op11_merkle_manifest"])
+    found = QUERIES["op11_merkle_manifest"](spark, sf_dir).select(*expected.columns).collect()
+    assert ordered(found) == ordered(expected.fetchall())
