@@ -117,7 +117,7 @@ def differing_months(before: DataFrame, after: DataFrame) -> list[Month]:
     return sorted((r[0], r[1]) for r in odd.collect())
 
 
-def replace_months(rows: DataFrame, path: str, months: Iterable[Month], gather: bool = True) -> None:
+def replace_months(rows: DataFrame, path: str, months: Iterable[Month], order: Sequence[str] = ()) -> None:
     """The stored ``rows`` take the place of the months' partitions below ``path``.
 
     A month without rows loses its folder. ``rows`` has the partition columns and
@@ -125,7 +125,7 @@ def replace_months(rows: DataFrame, path: str, months: Iterable[Month], gather:
     """
     spark = rows.sparkSession
     there = set(months_in(rows))
-    sinks.write_partitioned(rows, path, gather=gather)
+    sinks.write_partitioned(rows, path, order=order)
     for year, month in set(months) - there:
         sinks.remove(spark, f"{path}/{PARTITION_COLUMNS[0]}={year}/{PARTITION_COLUMNS[1]}={month}")
 

@@ -218,7 +218,7 @@ def update_months(
         layout.path("silver", "rejects"))
     rows, untimed, months = incremental.rebuilt_silver(
         typed, change, spark.read.parquet(layout.path("state", "untimed")), silver, cfg, work)
-    incremental.replace_months(rows, layout.path("silver", "delays"), months)
+    incremental.replace_months(rows, layout.path("silver", "delays"), months, sinks.SILVER_ORDER)
     for name, cube in vars(silver_cubes(rows)).items():
         incremental.replace_months(
             incremental.stored(cube, f"{work}/cubes/{name}"), layout.path("cubes", name), months)

@@ -114,6 +114,34 @@ def test_partitioned_sink_writes_few_files(spark, tmp_path):
     assert 12 <= len(files) <= 24, len(files)
 
 
+def test_silver_lies_by_line_and_station_within_a_month(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from frames import bronze_frame, code_frame, raw_feed
+
+    from marlstone.operators import explore, silver
+
+    rows, _ = silver.build_silver(bronze_frame(spark, raw_feed(2000)), code_frame(spark))
+    day = F.make_date(F.lit(2021), F.lit(5), F.dayofmonth("event_date"))
+    path = tmp_path / "silver"
+    spark._jsc.hadoopConfiguration().setInt("parquet.block.size", 1024)
+    try:
+        sinks.write_silver(rows.withColumn("event_date", day), str(path))
+    finally:
+        spark._jsc.hadoopConfiguration().unset("parquet.block.size")
+    stored = sinks.read_silver(spark, str(path))
+    keys = [(r["line_canonical"], r["station"]) for r in stored.coalesce(1).collect()]
+    assert keys == sorted(keys) and len(set(keys)) > 10
+    (file,) = path.rglob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    at = groups.schema.names.index("line_canonical")
+    spans = [groups.row_group(i).column(at).statistics for i in range(groups.num_row_groups)]
+    for line in {k for k, _ in keys}:
+        read = sum(groups.row_group(i).num_rows for i, s in enumerate(spans) if s.min <= line <= s.max)
+        own = sum(k == line for k, _ in keys)
+        assert own <= read <= own + 2 * max(groups.row_group(i).num_rows for i in range(groups.num_row_groups))
+    assert explore.select_rows(stored, line=keys[0][0]).count() == sum(k == keys[0][0] for k, _ in keys)
+
+
 def test_empty_table_replaces_the_old_one(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_table(spark.range(3), path)
