@@ -17,7 +17,7 @@ from marlstone.llm.arrays import ragged_positions, text_buffer
 from marlstone.llm.storage import once_per_worker
 
 CHUNK_BYTES = 4 << 20
-CACHED_PIECES = 800_000
+CACHED_PIECES = 250_000
 JOINED = 1000
 
 # Bytes that are neither white space nor control characters. Lead bytes under
