@@ -129,7 +129,10 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose equal text has a larger id; all columns stay."""
+    """``docs`` without the rows whose equal text has a larger id; all columns stay.
+
+    No column may be named __gone_id or __gone_digest.
+    """
     gone = duplicates(docs, id_col, text_col).where("not kept").select(
         F.col("id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct()
     gone = broadcast_if_small(stored(gone, "exact-gone"))

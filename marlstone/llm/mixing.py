@@ -68,9 +68,9 @@ def mix(
     or with rate 0, goes. Null is a source like any other. Rows of equal id are
     drawn alike; rows without id are drawn as one id. Added columns: mix_copy
     (from 1) and mix_key, which orders the result. An empty table stays empty.
-    Both names must be free in ``docs``.
+    These names, and those of the columns used inside, must be free in ``docs``.
     """
-    taken = {"mix_copy", "mix_key"} & set(docs.columns)
+    taken = {"mix_copy", "mix_key", "__source", "__draws", "__cdf", "__copies"} & set(docs.columns)
     if taken:
         raise ValueError(f"the documents already have columns {sorted(taken)}")
     table = with_distribution(rates.withColumn("rate", F.coalesce("rate", F.lit(0.0))).where("rate > 0")).select(

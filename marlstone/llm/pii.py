@@ -300,7 +300,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rows are told apart by their texts, so null and repeated ids make no
     difference; null texts stay null. Where spans overlap, the first one is replaced and the rest of the other is
-    cut. All columns stay; a text without spans is unchanged.
+    cut. All columns stay; a text without spans is unchanged. No column may be
+    named __k1, __k2 or __spans.
     """
     spans = scan(docs, id_col, text_col).where(F.size("spans") > 0).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans")).dropDuplicates(

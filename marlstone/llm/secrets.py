@@ -341,7 +341,11 @@ def scan(
 
 
 def redact(docs: DataFrame, text_col: str = "text", least: float = LEAST, put: str = "[secret]") -> DataFrame:
-    """``docs`` with every secret replaced; all columns stay."""
+    """``docs`` with every secret replaced; all columns stay.
+
+    Rows are told apart by their texts, so null and repeated ids make no
+    difference; null texts stay null. No column may be named __k1, __k2 or __spans.
+    """
     spans = findings(docs, text_col).where(F.col("probability") >= least).groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans")).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__spans")
