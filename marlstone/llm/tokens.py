@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,7 @@ def safe_cuts(data: np.ndarray) -> np.ndarray:
 
     These are: a single space between two plain characters, a single line break
     between two plain characters (before and after it), and a closing mark
-    right after an ASCII letter.
+    right after an ASCII letter or one of U+00C0 to U+00FF.
     """
     n = data.size
     cuts = np.zeros(n, bool)
@@ -63,7 +63,10 @@ def safe_cuts(data: np.ndarray) -> np.ndarray:
     between = ends[:-2] & begins[2:]
     cuts[1:-1] = between & ((data[1:-1] == 0x20) | (data[1:-1] == 0x0A))
     cuts[2:] |= between & (data[1:-1] == 0x0A)
-    cuts[1:] |= _CLOSING[data[1:]] & _ASCII_LETTER[data[:-1]]
+    closing = np.flatnonzero(_CLOSING[data[2:]]) + 2
+    before = data[closing - 1]
+    cuts[closing] |= _ASCII_LETTER[before] | (_LETTER_TAIL[before] & _LETTER_LEAD[data[closing - 2]])
+    cuts[1] |= _CLOSING[data[1]] & _ASCII_LETTER[data[0]]
     return cuts
 
 
@@ -103,7 +106,11 @@ class Encoder:
                         for t in layout.get("added_tokens", [])))
             self._marks = np.zeros(256, bool)
             self._marks[[t["content"].encode()[0] for t in layout.get("added_tokens", [])]] = True
-            self._model, self._letters = tokenizer.model, byte_letters()
+            self._model = tokenizer.model
+            self._letters = np.zeros(256, "<u2")
+            for byte, letter in byte_letters().items():
+                self._letters[byte] = ord(letter)
+            self._letters[0x0A] = 0x0A  # stands between words, and in none
             line_break = self._encode(["\n"])[0]
             self._line_break = int(line_break[0]) if line_break.size == 1 else None
         self._reset()
@@ -127,6 +134,18 @@ class Encoder:
         self._n_ids += ids.size
         self._known.update(zip(pieces, range(n, n + m), strict=True))
 
+    def _numbers(self, pieces: list[bytes]) -> np.ndarray:
+        """The numbers of the pieces, -1 for those not known."""
+        return np.fromiter(map(self._known.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def _keep(self, pieces: list[bytes]) -> None:
+        """Forget all but ``pieces``, which are known."""
+        numbers = self._numbers(pieces)
+        sizes = self._sizes[numbers]
+        ids = self._ids[ragged_positions(self._starts[numbers], sizes)]
+        self._reset()
+        self._remember(pieces, ids, sizes)
+
     def _joinable(self, distinct: pa.Array) -> np.ndarray:
         """True for pieces that may stand between line breaks in a longer string.
 
@@ -155,8 +174,9 @@ class Encoder:
         """Single words go straight to the library's merges, other plain pieces in long
         strings with a line break between them, the rest one by one."""
         if single:
-            found = [
-                [t.id for t in self._model.tokenize(p.decode("latin-1").translate(self._letters))] for p in single]
+            shown = self._letters[np.frombuffer(b"\n".join(single), np.uint8)].tobytes().decode("utf-16-le")
+            tokenize = self._model.tokenize
+            found = [[t.id for t in tokenize(word)] for word in shown.split("\n")]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             self._remember(single, np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())), sizes)
         groups = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
@@ -184,14 +204,16 @@ class Encoder:
             coded = pa.Array.from_buffers(pa.large_binary(), stop - at, [
                 None, pa.py_buffer(own - own[0]), pa.py_buffer(np.ascontiguousarray(data[own[0]:own[-1]])),
             ]).dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            if len(self._known) + len(distinct) > CACHED_PIECES:
-                self._reset()
-            new = ~np.fromiter(map(self._known.__contains__, distinct), bool, len(distinct))
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            numbers = self._numbers(distinct)
+            new = numbers < 0
+            if len(self._known) + int(new.sum()) > CACHED_PIECES:
+                self._keep(list(compress(distinct, ~new)))  # those met again, so that frequent pieces stay
+                numbers = self._numbers(distinct)
             single = self._single(coded.dictionary)
             plain = self._joinable(coded.dictionary) & (self._line_break is not None) & ~single
             self._learn(*(list(compress(distinct, new & kind)) for kind in (single, plain, ~single & ~plain)))
-            numbers = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
+            numbers[new] = self._numbers(list(compress(distinct, new)))
             yield own[:-1], numbers[coded.indices.to_numpy(zero_copy_only=False)]
             at = stop
 

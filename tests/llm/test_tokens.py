@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -48,6 +49,23 @@ def test_memory_of_pieces_is_bounded(library, monkeypatch):
     assert ids.tolist() == [i for x in ids_of(library, texts) for i in x]
 
 
+def test_frequent_pieces_stay_known_past_the_bound(library, monkeypatch):
+    monkeypatch.setattr("marlstone.llm.tokens.CACHED_PIECES", 50)
+    monkeypatch.setattr("marlstone.llm.tokens.CHUNK_BYTES", 200)
+    learned, learn = Counter(), Encoder._learn
+
+    def counted(self, *kinds):
+        learned.update(piece for kind in kinds for piece in kind)
+        learn(self, *kinds)
+
+    monkeypatch.setattr(Encoder, "_learn", counted)
+    texts = [f"x often é, word{i} {i * i}" for i in range(500)]
+    encoder = Encoder(tokenizer_path())
+    ids, _ = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [i for x in ids_of(library, texts) for i in x]
+    assert learned[b" often"] == 1 and len(encoder._known) <= 50
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers_get_whole_texts(name):
     path = public_tokenizers.path(name)
