@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -12,6 +13,7 @@ import xxhash
 from pyspark.sql import SparkSession
 
 BATCH_BYTES = 16 << 20
+TEXT_BATCH_BYTES = 8 << 20  # for functions that hold several arrays per word of a text
 
 # byte classes; bytes of multi-byte characters are 0x80 and above
 NOT_SPACE = np.ones(256, bool)
@@ -20,9 +22,34 @@ LETTER_OR_DIGIT = np.zeros(256, bool)
 LETTER_OR_DIGIT[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Hand Arrow functions batches of bounded bytes, however long the texts are."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can.
+
+    A worker idles between its tasks and beside the JVM's sorts and joins; without
+    this it goes on holding what its largest batch needed.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, whose worker keeps no freed memory when its task ends."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.arrays import (
-    LETTER_OR_DIGIT, Words, bound_batches, byte_slices, lowered, mixed, ragged_positions,
-    split_words, text_buffer,
+    LETTER_OR_DIGIT, TEXT_BATCH_BYTES, Words, bound_batches, byte_slices, giving_back, lowered, mixed,
+    ragged_positions, split_words, text_buffer,
 )
 from marlstone.llm.spans import text_key
 from marlstone.llm.storage import stored
@@ -24,6 +24,7 @@ WINDOW = 10
 # one broadcast, so a larger benchmark means more blocks, not a larger one. An
 # index takes about five bytes for each of its text.
 BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20  # of text compared at once: a word takes some hundred bytes while it is
 
 HITS = ("starts", "ends", "byte_starts", "byte_ends", "items")
 HITS_SCHEMA = (
@@ -185,7 +186,7 @@ def find_hits(
     reads the documents once, and only the texts that it hits are brought together.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, TEXT_BATCH_BYTES)
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"),
     ).where("text is not null")
@@ -203,10 +204,10 @@ def find_hits(
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in byte_slices(batch, "text"):
+                for part in byte_slices(batch, "text", SLICE_BYTES):
                     yield _scan(index.value, part)
 
-        return rows.mapInArrow(scan, HITS_SCHEMA)
+        return rows.mapInArrow(giving_back(scan), HITS_SCHEMA)
 
     if blocks == 1:
         return scanned(0)

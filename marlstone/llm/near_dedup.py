@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.llm.arrays import (
-    NOT_SPACE, bound_batches, byte_slices, hash_each, lowered, mixed, split_words, text_buffer,
+    NOT_SPACE, TEXT_BATCH_BYTES, bound_batches, byte_slices, giving_back, hash_each, lowered, mixed, split_words,
+    text_buffer,
 )
 from marlstone.llm.bloom import bloom_filter, may_contain
 from marlstone.llm.components import components
@@ -45,6 +46,7 @@ BANDED = BANDS * BAND_ROWS
 PROBES = BUCKETS - BANDED  # registers that bands do not use, for the estimate
 # Standard deviations that an estimate may lie below the threshold.
 SLACK = 6.0
+SLICE_BYTES = 1 << 20  # of text hashed at once: a word takes some hundred bytes while it is
 BLOCK = 256  # documents that one task holds while others stream past them
 
 FEATURES_SCHEMA = "id bigint, n bigint, k1 bigint, k2 bigint, registers binary, probes binary"
@@ -139,12 +141,12 @@ def estimate(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray)
 
 def features(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """Per document: set size, a 128-bit key of the set, and its registers."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, TEXT_BATCH_BYTES)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SLICE_BYTES):
                 hashes, starts = shingles(part.column("text"), words)
                 padded = np.concatenate([hashes, np.zeros(1, np.uint64)])
                 own = np.minimum(starts[:-1], hashes.size)
@@ -159,7 +161,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                     "registers": pa.array([r.tobytes() for r in own[:, :BANDED]], pa.binary()),
                     "probes": pa.array([r.tobytes() for r in own[:, BANDED:]], pa.binary())})
 
-    return rows.mapInArrow(compute, FEATURES_SCHEMA)
+    return rows.mapInArrow(giving_back(compute), FEATURES_SCHEMA)
 
 
 def _register_rows(column: pa.Array, size: int) -> np.ndarray:
@@ -177,7 +179,7 @@ def band_rows(classes: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
                 keys, ids = keys[keep], ids[keep]
             yield pa.record_batch({"key": pa.array(keys), "id": pa.array(ids)})
 
-    return classes.select("id", "registers").mapInArrow(explode, "key bigint, id bigint")
+    return classes.select("id", "registers").mapInArrow(giving_back(explode), "key bigint, id bigint")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -196,7 +198,7 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]) ->
             spread = np.sqrt(least * (1 - least) / np.minimum(np.minimum(n, m), PROBES))
             yield batch.select(["a", "b"]).filter(pa.array(near >= least - SLACK * spread))
 
-    return both.mapInArrow(keep, "a bigint, b bigint")
+    return both.mapInArrow(giving_back(keep), "a bigint, b bigint")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -212,13 +214,13 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, wo
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = may_contain(named.value, batch.column("id").to_numpy(zero_copy_only=False))
-            for part in byte_slices(batch.filter(pa.array(keep)), "text"):
+            for part in byte_slices(batch.filter(pa.array(keep)), "text", SLICE_BYTES):
                 hashes, starts = shingles(part.column("text"), words)
                 yield pa.record_batch({"id": part.column("id"), "set": pa.ListArray.from_arrays(
                     pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))})
 
     # rows that repeat an id are one document
-    return rows.mapInArrow(compute, "id bigint, set array<bigint>").dropDuplicates(["id"])
+    return rows.mapInArrow(giving_back(compute), "id bigint, set array<bigint>").dropDuplicates(["id"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -314,8 +316,8 @@ def _further(
                     found_b.append(max(doc, other))
             yield pa.record_batch({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
-    bound_batches(dealt.sparkSession)
-    return dealt.select(*columns, "set").mapInArrow(compare, "a bigint, b bigint").where("a <> b").distinct()
+    bound_batches(dealt.sparkSession, TEXT_BATCH_BYTES)
+    return dealt.select(*columns, "set").mapInArrow(giving_back(compare), "a bigint, b bigint").where("a <> b").distinct()
 
 
 def near_duplicates(

@@ -17,7 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.arrays import NOT_SPACE, bound_batches, byte_slices, split_words, text_buffer
+from marlstone.llm.arrays import (
+    NOT_SPACE, TEXT_BATCH_BYTES, bound_batches, byte_slices, giving_back, split_words, text_buffer,
+)
 from marlstone.llm.storage import stored
 
 FEATURE_BITS = 24
@@ -181,7 +183,7 @@ def train(
     docs: DataFrame, grades: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
 ) -> Model:
     """Fit on at most ``sample_rows`` graded documents; their features are counted on executors."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, TEXT_BATCH_BYTES)
     sample = grades.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(sample), "id")  # at most sample_rows ids
@@ -198,7 +200,7 @@ def train(
                     "vals": pa.ListArray.from_arrays(cuts, pa.array(value[order].astype(np.float32)))})
 
     counted = stored(rows.mapInArrow(
-        extract, "id bigint, grade int, features array<int>, vals array<float>"), "quality-sample")
+        giving_back(extract), "id bigint, grade int, features array<int>, vals array<float>"), "quality-sample")
     known = associated(counted)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +236,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     Null, empty and blank texts get 0 and 0. A model fitted on fewer than two
     grades gives every other text the top grade. Ids may repeat or be null.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, TEXT_BATCH_BYTES)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # bounded by the sample
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -246,14 +248,14 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.record_batch({
                     "id": part.column("id"), "expected_grade": pa.array(expected), "top_probability": pa.array(top)})
 
-    return rows.mapInArrow(run, SCORE_SCHEMA)
+    return rows.mapInArrow(giving_back(run), SCORE_SCHEMA)
 
 
 def select_good(
     docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text",
 ) -> DataFrame:
     """``docs`` whose probability of the top grade is at least ``least``; all columns stay."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, TEXT_BATCH_BYTES)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,4 +265,4 @@ def select_good(
                 _, top = score_texts(own, part.column(text_col))
                 yield part.filter(pa.array(top >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)

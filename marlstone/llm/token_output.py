@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm import simple8b
-from marlstone.llm.arrays import bound_batches, byte_slices
+from marlstone.llm.arrays import TEXT_BATCH_BYTES, bound_batches, byte_slices, giving_back
 from marlstone.llm.tokens import worker_encoder
 
 SEGMENT_BYTES = 4 << 20  # text of a segment; a longer text is one segment
@@ -47,7 +47,7 @@ def segments(
     other in the order of their texts; rows without id come first. An empty
     table gives no segment. Other columns are not read.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, TEXT_BATCH_BYTES)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -76,7 +76,7 @@ def segments(
                 })
                 segment, start = segment + 1, start + ids.size
 
-    return ordered.mapInArrow(encode, SEGMENT_SCHEMA)
+    return ordered.mapInArrow(giving_back(encode), SEGMENT_SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, **options) -> None:
@@ -111,11 +111,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     "ids_crc32": pa.array(crcs, pa.int64()),
                 })
 
-    bound_batches(spark)
+    bound_batches(spark, TEXT_BATCH_BYTES)
     # one row per task that wrote, so a sum over all of them is small
     shards = stored.groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = shards.select("shard", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("base"))
-    docs = stored.mapInArrow(decode, READ_SCHEMA)
+    docs = stored.mapInArrow(giving_back(decode), READ_SCHEMA)
     return docs.join(F.broadcast(bases), "shard").select(
         "id", (F.col("base") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32")
