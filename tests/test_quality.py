@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marlstone import run_checks
 from marlstone.operators import quality
 from marlstone.plans.check import check_dataset
+from marlstone.registry import quality_queries
 
 RUN_DATE = dt.date(2026, 5, 20)
 
@@ -311,3 +312,11 @@ def test_suite_equals_a_calculation_by_hand(spark, seed):
         "long_tail": {"column": "text", "max_count": 3, "max_rate": 0.5}}, RUN_DATE)
     expected = by_hand(rows, {"A", "B"}, 3)
     assert {r.name: r.measured for r in results} == {k: round(v, 4) for k, v in expected.items()}
+
+
+def test_report_makes_silver_once(spark, sf_dir, monkeypatch):
+    made, real = [], quality_queries.silver_table
+    monkeypatch.setattr(quality_queries, "silver_table", lambda *args: made.append(1) or real(*args))
+    row = quality_queries.report_summary(spark, sf_dir).first()
+    assert made == [1] and row["checks_total"] == 10
+    assert row["rows"] == real(spark, sf_dir).count()
