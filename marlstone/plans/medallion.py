@@ -34,6 +34,7 @@ from marlstone.sources.readers import read_source, reference_codes
 
 WRITERS = 8  # independent output tables written at the same time
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+SCAN_TARGET_ROWS = 250_000  # a few seconds of typing
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,8 @@ GOLD_MODELS: dict[str, Callable[[Cubes], DataFrame]] = {
 
 def silver_cubes(silver: DataFrame) -> Cubes:
     """Cubes by month: each month's cells come from its own rows, so that a month can be replaced."""
+    if not set(PARTITION_COLUMNS) <= set(silver.columns):
+        silver = sinks.with_months(silver)
     return Cubes(*[cube(silver, PARTITION_COLUMNS) for cube in (gold.time_cube, gold.station_cube, gold.code_cube)])
 
 
@@ -101,6 +104,33 @@ def sized_shuffles(spark: SparkSession, raw_bytes: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+SCAN_TASKS = "spark.sql.files.minPartitionNum"
+
+
+@contextmanager
+def restored(spark: SparkSession, setting: str) -> Iterator[None]:
+    """The session's ``setting`` as it is now, or unset, whatever becomes of it inside."""
+    before = spark.conf.get(setting, None)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
+def size_scans(spark: SparkSession, rows: int) -> None:
+    """Scans of the layers in enough tasks that one reads about SCAN_TARGET_ROWS.
+
+    Spark packs files into tasks by their bytes, and a layer's files are small for
+    their rows: one task would take all files of a month with many rows. Only ever
+    raises the session's setting.
+    """
+    least = int(spark.conf.get(SCAN_TASKS, None) or spark.sparkContext.defaultParallelism)
+    spark.conf.set(SCAN_TASKS, str(max(least, -(-rows // SCAN_TARGET_ROWS))))
+
+
 _SIZE = re.compile(r"Statistics\(sizeInBytes=([\d.E+]+) ([KMGTPE]?i?B)")
 _UNITS = {unit: 1024 ** i for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"))}
 UNKNOWN_BYTES = 2 ** 62  # what the optimizer assumes of data it knows nothing of is larger
@@ -342,7 +372,7 @@ def run(
     started = dt.datetime.now(dt.timezone.utc)
     manifest, previous = update_manifest(spark, cfg, layout, started.isoformat())
     raw_bytes = (manifest.agg(F.sum("bytes")).first()[0] or 0) + table_bytes(spark, cfg)
-    with sized_shuffles(spark, raw_bytes):
+    with sized_shuffles(spark, raw_bytes), restored(spark, SCAN_TASKS):
         finished = finished_run(spark, cfg, layout)
         if not finished:
             way = "all"
@@ -392,6 +422,7 @@ def _bring_up(
         sinks.remove(spark, layout.path("reports", "finished"))
     if way == "none" or change:
         if change:
+            size_scans(spark, change.file_months.agg(F.sum("rows")).first()[0] or 0)
             update_months(spark, codes, cfg, layout, change)
         file_months = spark.read.parquet(layout.path("state", "file_months"))
         bronze = spark.read.parquet(layout.path("bronze")).where(
@@ -399,10 +430,12 @@ def _bring_up(
         silver, rejected = stored_silver(spark, layout)
         cubes = stored_cubes(spark, layout)
         n_bronze = file_months.agg(F.sum("rows")).first()[0] or 0
+        size_scans(spark, n_bronze)
         n_silver = cubes.by_time.agg(F.sum(INCIDENTS)).first()[0] or 0
         columns = finished["columns"]
     else:
         bronze, n_bronze = build_bronze(spark, cfg, layout)
+        size_scans(spark, n_bronze)
         silver, rejected, n_silver = store_silver(bronze, codes, cfg, layout)
         cubes = store_cubes(silver, layout)
         columns = _columns(bronze)

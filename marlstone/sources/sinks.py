@@ -74,13 +74,17 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def with_months(silver: DataFrame) -> DataFrame:
+    """Silver with the two columns of its layout."""
+    return silver.withColumns({
+        "partition_year": F.year("event_date"), "partition_month": F.month("event_date"),
+    })
+
+
 def write_silver(df: DataFrame, path: str) -> None:
     """Full rebuild of silver, by month so that period filters prune folders, and within a
     month by line and station, so that a selection skips the row groups of others."""
-    keyed = df.withColumns({
-        "partition_year": F.year("event_date"), "partition_month": F.month("event_date"),
-    })
-    write_partitioned(keyed, path, replace=True, order=SILVER_ORDER)
+    write_partitioned(with_months(df), path, replace=True, order=SILVER_ORDER)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -157,6 +157,22 @@ def test_shuffles_grow_with_the_input_and_are_put_back(spark):
         assert spark.conf.get(setting) == before
 
 
+def test_scans_of_layers_grow_with_their_rows_and_are_put_back(spark, tmp_path, monkeypatch):
+    months = [f"{year}-{month:02d}-05" for year in (2021, 2022) for month in range(1, 13)]
+    write_feed(tmp_path / "feed.csv", [raw_row(date=day) for day in months])
+    (tmp_path / "codes.csv").write_text("_id,CODE,DESCRIPTION\n1,Q5,Text\n")
+    cfg = FeedConfig(sources=(SourceSpec("feed.csv", str(tmp_path / "feed.csv")),),
+                     codes=SourceSpec("codes", str(tmp_path / "codes.csv")))
+    monkeypatch.setattr(medallion, "publish", lambda *a: None)
+    tasks, before = [], spark.conf.get("spark.sql.files.minPartitionNum", None)
+    monkeypatch.setattr(medallion, "typed_table", lambda rows, *a, f=medallion.typed_table: tasks.append(
+        rows.rdd.getNumPartitions()) or f(rows, *a))
+    monkeypatch.setattr(medallion, "SCAN_TARGET_ROWS", 1, raising=False)
+    result = medallion.run(spark, cfg, str(tmp_path / "out"), RUN_DATE)
+    assert tasks == [len(months)] and result.silver.count() == len(months)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+
+
 def test_a_catalog_table_counts_with_its_size(spark):
     spark.range(200_000).createOrReplaceTempView("sized_feed")
     cfg = FeedConfig(sources=(SourceSpec("t", "sized_feed", "table"),))
