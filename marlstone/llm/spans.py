@@ -37,6 +37,7 @@ def match_parts(text: Column, pattern: Column | str) -> tuple[Column, Column]:
 
     A piece, what stands between two matches, is only its length and its two ends.
     """
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     pieces = F.transform(F.split(text, pattern, -1), lambda p: F.struct(
         F.char_length(p).alias("n"), F.left(p, F.lit(CONTEXT)).alias("left"), F.right(p, F.lit(CONTEXT)).alias("right")))
     return F.regexp_extract_all(text, pattern, F.lit(0)), pieces
